@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from loomspark.plans import qc, relational, speech, streams  # noqa: F401  they register their queries
+from loomspark.plans.registry import ORACLE, QUERIES
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
