@@ -1,7 +1,7 @@
 """Quality rules from base counts and from how many documents of a host share each line.
 
 Only DataFrame functions are used. Base counts are taken inside each row. For the verdict, every
-line with a word is normalised (lower case; blanks, digits and punctuation dropped) and hashed.
+line with a word is normalised (lower case; blanks and punctuation dropped) and hashed.
 Per host (column ``source``) and line the distinct document contents are counted: exact copies of
 one document count once. A line above both limits (an absolute number and a share of the host's
 contents) is removed from every document of the host but the first (smallest doc_id) that has it.
@@ -30,7 +30,7 @@ MAX_DOCS = 20
 MAX_DOC_SHARE = 0.02
 MIN_WORDS = 20
 MIN_SHARE = 0.3
-DROPPED = SPACES + "0123456789.,;:!?'\"()-"
+DROPPED = SPACES + ".,;:!?'\"()-"
 
 
 def repeated_words(words: Column, window: int = WINDOW) -> Column:
