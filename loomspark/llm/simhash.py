@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import cut, sent_if_small
+from loomspark.llm.common import cut, partitions, sent_if_small
 from loomspark.llm.graph import components
 
 SHINGLE = 3
@@ -85,7 +85,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET
     """Pairs u < v of the distinct fingerprints fps (fp) that connect all that are within 2 bits of one another."""
     if max_bits != MAX_BITS:
         raise ValueError("two segments with one masked bit find two differing bits")
-    keys = variants(fps)
+    # Each fingerprint becomes 64 rows here: spread them first, whatever few partitions the narrow input came in.
+    keys = variants(fps.repartition(partitions(fps.sparkSession)))
     buckets = cut(keys.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v")).where("n > 1"))
     near = bit_distance(F.col("u"), F.col("v")) <= max_bits
     two = buckets.where("n = 2").where(near).select("u", "v")
