@@ -28,7 +28,7 @@ WINDOW = 8
 #: A line is frequent if more than MAX_DOCS contents of its host and more than MAX_DOC_SHARE of them have it.
 MAX_DOCS = 20
 MAX_DOC_SHARE = 0.02
-MIN_WORDS = 20
+MIN_WORDS = 5
 MIN_SHARE = 0.3
 DROPPED = SPACES + ".,;:!?'\"()-"
 
