@@ -86,3 +86,10 @@ def write_back(chunks: DataFrame, results: DataFrame, fields: list[str]) -> Data
 def first_wins(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     n = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     return df.withColumn("_n", n).where("_n = 1").drop("_n")
+
+
+def schema_difference(a: DataFrame, b: DataFrame) -> DataFrame:
+    """name, type_a and type_b of columns that two runs don't share or type differently; no row if the schemas agree."""
+    left, right = dict(a.dtypes), dict(b.dtypes)
+    names = [n for n in left | right if left.get(n) != right.get(n)]
+    return a.sparkSession.createDataFrame([(n, left.get(n), right.get(n)) for n in names], "name string, type_a string, type_b string")

@@ -83,6 +83,33 @@ def score_alive(df: DataFrame, name: str, out: str, alive: Column, *inputs: str,
     return df.drop(out).join(some, key, "left").withColumn(out, F.coalesce(out, F.lit(_REGISTRY[name].failure)))
 
 
+def score_by_language(
+    df: DataFrame, text: str, out: str, returns: str, make: Callable[[str | None], Batch], language: str = "language", salts: int = 16
+) -> DataFrame:
+    """df with a score by the model of each row's language, every model loaded once per task and language.
+
+    Rows are dealt by language and a salt from the text, so that a language with most of the rows
+    is scored by many tasks; at most that many tasks load its model.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        models: dict[str | None, Batch] = {}
+        for pdf in frames:
+            parts = []
+            for key, rows in pdf.groupby(language, sort=False, dropna=False):
+                name = None if pd.isna(key) else key
+                if name not in models:
+                    models.clear()  # rows come sorted by language: the last model is over
+                    models[name] = make(name)
+                parts.append(rows.assign(**{out: models[name](list(rows[text]))}))
+            if parts:
+                yield pd.concat(parts)
+
+    dealt = df.repartition(F.col(language), F.pmod(F.xxhash64(text), F.lit(salts))).sortWithinPartitions(language)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + f", `{out}` {returns}"
+    return dealt.mapInPandas(run, schema)
+
+
 def _unit(text: Any, salt: str) -> float:
     return int(hashlib.sha1(f"{salt}:{text}".encode()).hexdigest()[:8], 16) / 0xFFFFFFFF
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,13 +18,13 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def o2_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tumbling windows of the event stream, complete mode."""
     counts = pipeline.windowed_counts(_events(spark, sf_dir)).select(F.col("w.start").alias("start"), "event_type", "n")
-    return pipeline.drained(counts, f"counts_{uuid.uuid4().hex}", "complete")
+    return pipeline.drained(counts, "complete")
 
 
 def o13_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users of the event stream, each event once."""
     once = pipeline.deduplicated(_events(spark, sf_dir), "event_id", late="40 days")
-    return pipeline.drained(once.select("user_id", "event_id"), f"once_{uuid.uuid4().hex}")
+    return pipeline.drained(once.select("user_id", "event_id"))
 
 
 QUERIES |= {"o2_stream_counts": o2_stream_counts, "o13_stream_dedup": o13_stream_dedup}

@@ -8,6 +8,8 @@ again is not done.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -81,11 +83,31 @@ def deduplicated(events: DataFrame, key: str, ts: str = "ts", late: str = "10 mi
     return events.withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
 
 
-def drained(frame: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """The result of a stream over what is there now, as a table in memory."""
-    q = frame.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+def shared_folder(spark: SparkSession) -> str:
+    """A new path in the folder that spark.checkpoint.dir names; only in local mode, and only where that is unset, in a temporary one."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        named = tempfile.mkdtemp(prefix="loomspark-stream-")
+    return f"{named.rstrip('/')}/stream-{uuid.uuid4().hex}"
+
+
+def drained(frame: DataFrame, mode: str = "append") -> DataFrame:
+    """The result of a stream over what is there now, as a table in the shared folder; no row passes through the driver.
+
+    In mode complete a batch holds all of the result and the last one stays; else each batch adds a folder of its own.
+    """
+    spark = frame.sparkSession
+    folder = shared_folder(spark)
+    spark.createDataFrame([], frame.schema).write.parquet(f"{folder}/rows/epoch=-1")  # there if no batch comes
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/rows/epoch={0 if mode == 'complete' else epoch}")
+
+    q = frame.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
     try:
         q.awaitTermination()
     finally:
         q.stop()
-    return frame.sparkSession.table(name)
+    return spark.read.schema(frame.schema).parquet(f"{folder}/rows").select(*frame.columns)
