@@ -70,9 +70,11 @@ links as (select distinct * from (select host as src, translate(unnest(regexp_ex
 both_ways as (select 'trust' as kind, src, dst from links union all select 'distrust', dst, src from links),
 edges as (select *, 1.0::double / count(*) over (partition by kind, src) as part from both_ways),
 counted as (select host, case when count(*) filter (verdict = 'allow') > count(*) filter (verdict = 'block') then 'trust' when 2 * count(*) filter (verdict = 'block') > count(*) then 'distrust' end as kind from j where host <> '' group by host),
-seeds as (select kind, host, 1.0::double / count(*) over (partition by kind) as seed from counted where kind is not null),
+seeds as (select kind, host, 1.0::double as seed from counted where kind is not null),
+seed_counts as (select kind, count(*) as n from seeds group by kind),
 {", ".join(ranks)},
-bad as (select host from r{urls.ROUNDS} group by host having coalesce(sum(rank) filter (kind = 'distrust'), 0) >= {urls.MIN_SCORE} and coalesce(sum(rank) filter (kind = 'distrust'), 0) > coalesce(sum(rank) filter (kind = 'trust'), 0))
+bad as (select host from r{urls.ROUNDS} join seed_counts using (kind) group by host having coalesce(sum(rank) filter (kind = 'distrust'), 0) >= {urls.MIN_SCORE}
+  and coalesce(sum(rank / n) filter (kind = 'distrust'), 0) > coalesce(sum(rank / n) filter (kind = 'trust'), 0))
 select page_id, j.host, path, rule, coalesce(verdict, case when bad.host is not null then 'block' end, 'allow') as verdict from j left join bad on bad.host = j.host
 """
 

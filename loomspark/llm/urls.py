@@ -4,8 +4,9 @@ Rules decide where one fits: its host or a subdomain of it, and a path that star
 the longest rule wins. For other urls the host is judged. Hosts of whose pages more are allowed than
 blocked by rules are trusted seeds; hosts with more than half of their pages blocked are blocked
 seeds. Trust is a personalised PageRank from trusted seeds along links between hosts, distrust one
-from blocked seeds against the links (who links to the blocked is distrusted). A host is blocked if
-its distrust is at least MIN_SCORE and above its trust.
+from blocked seeds against the links (who links to the blocked is distrusted). Ranks are in units of
+one seed. A host is blocked if its distrust is at least MIN_SCORE of a seed, and if its share of all
+distrust is above its share of all trust: neither depends on how many seeds a corpus has.
 
 Only DataFrame functions are used. Links are made distinct by host before they meet any rank, both
 propagations run in one loop, sums are combined on the map side, and joins are ones that adaptive
@@ -32,7 +33,7 @@ MAX_RULES = 500
 DAMPING = 0.85
 ROUNDS = 8
 CUT_EVERY = 4
-MIN_SCORE = 1e-6
+MIN_SCORE = 1e-3
 LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
 
@@ -76,20 +77,26 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
 
 
 def host_scores(pages: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """host, trust and distrust of the hosts that any reaches; pages has host, html and verdict (the rules')."""
+    """host, distrust (in units of one seed), and the shares of all trust and distrust of the hosts that any reaches.
+
+    pages has host, html and verdict (the rules').
+    """
     counted = pages.where("host <> ''").groupBy("host").agg(
         F.count_if(F.col("verdict") == "allow").alias("allowed"), F.count_if(F.col("verdict") == "block").alias("blocked"), F.count("*").alias("n")
     )
     kind = F.when(F.col("allowed") > F.col("blocked"), "trust").when(2 * F.col("blocked") > F.col("n"), "distrust")
-    seeds = counted.select(kind.alias("kind"), "host").where("kind is not null")
-    seeds = cut(seeds.join(seeds.groupBy("kind").agg((1.0 / F.count("*")).alias("seed")), "kind"))
+    seeds = cut(counted.select(kind.alias("kind"), "host", F.lit(1.0).alias("seed")).where("kind is not null"))
     there = links(pages)
     both = there.select(F.lit("trust").alias("kind"), "src", "dst").union(there.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst")))
     both = cut(both)
     out = both.groupBy("kind", "src").agg((1.0 / F.count("*")).alias("part"))
     ranks = propagate(cut(both.join(out, ["kind", "src"])), seeds, rounds)
-    rank = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("rank"))), F.lit(0.0)).alias(k)
-    return ranks.groupBy("host").agg(rank("trust"), rank("distrust"))
+    n = F.broadcast(seeds.groupBy("kind").agg(F.count("*").alias("n")))  # one row for each of the two kinds
+    total = lambda k, c: F.coalesce(F.sum(F.when(F.col("kind") == k, c)), F.lit(0.0))
+    share = F.col("rank") / F.col("n")
+    return ranks.join(n, "kind").groupBy("host").agg(
+        total("distrust", F.col("rank")).alias("distrust"), total("trust", share).alias("trust_share"), total("distrust", share).alias("distrust_share")
+    )
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, rounds: int = ROUNDS, min_score: float = MIN_SCORE) -> DataFrame:
@@ -98,6 +105,6 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, rounds: in
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     parts = parts.withColumn("rule", rule).withColumn("verdict", verdict)
     scores = host_scores(parts, rounds)
-    bad = scores.where((F.col("distrust") >= min_score) & (F.col("distrust") > F.col("trust"))).select("host", F.lit("block").alias("host_verdict"))
+    bad = scores.where((F.col("distrust") >= min_score) & (F.col("distrust_share") > F.col("trust_share"))).select("host", F.lit("block").alias("host_verdict"))
     joined = parts.drop("html").join(bad, "host", "left")
     return joined.select("page_id", "host", "path", "rule", F.coalesce("verdict", "host_verdict", F.lit("allow")).alias("verdict"))

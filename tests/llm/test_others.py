@@ -101,7 +101,7 @@ def brute_verdicts(pages, rounds=urls.ROUNDS):
         return rank
 
     trust, distrust = spread(good, edges), spread(bad, {(b, a) for a, b in edges})
-    host_bad = {h for h, d in distrust.items() if d >= urls.MIN_SCORE and d > trust.get(h, 0)}
+    host_bad = {h for h, d in distrust.items() if d * len(bad) >= urls.MIN_SCORE and d > trust.get(h, 0)}
     return [(p[0], p[1], p[2], p[3], p[4] or ("block" if p[1] in host_bad else "allow")) for p in parts]
 
 
@@ -122,6 +122,14 @@ def test_urls(spark):
     assert urls.judge(df.limit(0)).count() == 0
 
 
+def test_urls_at_any_number_of_seeds(spark):
+    """A host that links to one of many blocked hosts is blocked, however many there are."""
+    for n in (1, 3000):
+        pages = [(i, f"http://h{i}.x.net/", "", None, 1.0) for i in range(n)] + [(-1, "http://fan.example.com/", '<a href="http://h0.x.net/">', None, 1.0), (-2, "http://other.example.com/", '<a href="/in">', None, 1.0)]
+        got = {r["page_id"]: r["verdict"] for r in urls.judge(spark.createDataFrame(pages, PAGES)).where("page_id < 0").collect()}
+        assert got == {-1: "block", -2: "allow"}
+
+
 def test_pipeline(spark, docs, tmp_path):
     """Every stage against what it must keep, and run() against the stages one by one."""
     import test_documents as brute
