@@ -10,7 +10,8 @@ distrust is above its share of all trust: neither depends on how many seeds a co
 
 Only DataFrame functions are used. Links are made distinct by host before they meet any rank, both
 propagations run in one loop, sums are combined on the map side, and joins are ones that adaptive
-execution splits when a host is hot. Lineage is cut every CUT_EVERY rounds. Rules are few and
+execution splits when a host is hot. Blocked hosts are counted; while they are few they go to the
+pages, which then need no shuffle. Lineage is cut every CUT_EVERY rounds. Rules are few and
 compiled into one expression; MAX_RULES bounds them.
 
 Defined cases: a null url or one without ``://`` has empty host and path, fits no rule and is
@@ -26,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import cut
+from loomspark.llm.common import cut, sent_if_small
 
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 MAX_RULES = 500
@@ -106,5 +107,5 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, rounds: in
     parts = parts.withColumn("rule", rule).withColumn("verdict", verdict)
     scores = host_scores(parts, rounds)
     bad = scores.where((F.col("distrust") >= min_score) & (F.col("distrust_share") > F.col("trust_share"))).select("host", F.lit("block").alias("host_verdict"))
-    joined = parts.drop("html").join(bad, "host", "left")
+    joined = parts.drop("html").join(sent_if_small(bad), "host", "left")
     return joined.select("page_id", "host", "path", "rule", F.coalesce("verdict", "host_verdict", F.lit("allow")).alias("verdict"))
