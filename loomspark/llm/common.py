@@ -67,3 +67,18 @@ def sent_if_small(keys: DataFrame) -> DataFrame:
     """Narrow keys, computed once; broadcast only if they are counted and few, else joined by a shuffle."""
     keys = cut(keys)
     return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+
+
+#: Rows that a Python worker gets at a time.
+TEXT_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of TEXT_ROWS rows for this session, unless it asks for other than the default of 10,000.
+
+    Rows are whole texts here, and a worker holds its batch several times over: as Arrow, as strings
+    and as results. The default would make a batch of most of a task.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(TEXT_ROWS))

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomspark.llm.common import small_batches
+
 BLOCK = 1024
 
 
@@ -40,6 +42,7 @@ def encoding(name: str):
 
 def lengths(docs: DataFrame, name: str = "byte_bpe_50k.tiktoken") -> DataFrame:
     """n_tokens of each row of docs (text)."""
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf("long")
     def count(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
