@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import small_batches
+from loomspark.llm.common import cut, small_batches
 
 BLOCK = 1024
 
@@ -61,7 +61,8 @@ def length_table(rows: DataFrame) -> DataFrame:
     share_below: the part of all documents that is not longer (for quantiles).
     """
     hist = rows.groupBy("n_tokens").agg(F.count("*").alias("n_docs")).withColumn("block", F.floor(F.col("n_tokens") / BLOCK))
-    hist = hist.withColumn("tokens", F.col("n_tokens") * F.col("n_docs"))
+    # Used twice below: kept, so that no text is encoded twice. It has a row for each length, not for each document.
+    hist = cut(hist.withColumn("tokens", F.col("n_tokens") * F.col("n_docs")))
     inside = Window.partitionBy("block").orderBy("n_tokens").rowsBetween(Window.unboundedPreceding, -1)
     blocks = hist.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
     earlier, whole = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
@@ -83,9 +84,9 @@ def length_table(rows: DataFrame) -> DataFrame:
 def truncated_total(table: DataFrame, limit: int) -> DataFrame:
     """tokens: what is left when every document is cut to limit, for any limit, from the table's two rows around it."""
     longer = F.col("n_tokens") > limit
-    cut = F.max(F.when(longer, F.col("docs_from"))) * limit
+    over = F.max(F.when(longer, F.col("docs_from"))) * limit
     below = F.max(F.when(~longer, F.col("tokens_below") + F.col("n_tokens") * F.col("n_docs")))
-    return table.agg((F.coalesce(below, F.lit(0)) + F.coalesce(cut, F.lit(0))).alias("tokens"))
+    return table.agg((F.coalesce(below, F.lit(0)) + F.coalesce(over, F.lit(0))).alias("tokens"))
 
 
 def quantile(table: DataFrame, q: float) -> DataFrame:
