@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import cut, partitions, sent_if_small
+from loomspark.llm.common import cut, partitions, sent_if_small, small_batches
 from loomspark.llm.graph import components
 
 SHINGLE = 3
@@ -62,6 +62,7 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id and fp (signed) of each row."""
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf("long")
     def _fingerprints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
