@@ -14,7 +14,7 @@ from loomspark.llm.common import checkpoint_dir, documents
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.drop_rejected(docs)
+    return quality.cleaned(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,9 +6,10 @@ Per host (column ``source``) and line the distinct document contents are counted
 one document count once. A line above both limits (an absolute number and a share of the host's
 contents) is removed from every document of the host but the first (smallest doc_id) that has it.
 A document is depleted, and rejected, if fewer than MIN_WORDS words or less than MIN_SHARE of its
-words remain.
+words remain. quality() counts what is removed; cleaned() returns the kept texts without it.
 
-Shuffles carry hashes only, never texts: distinct (host, line, content) triples spread a hot host
+Shuffles carry hashes only (cleaned() moves texts once, if the rows that it changes are too many
+to send to every executor): distinct (host, line, content) triples spread a hot host
 and a hot line over all tasks before anything is counted, counts are combined on the map side, and
 the join of lines to frequent lines is one that adaptive execution splits when a key is hot.
 
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import SPACE, SPACES, cut, let, sent_if_small, word_array
+from loomspark.llm.common import BROADCAST_ROWS, SPACE, SPACES, cut, let, word_array
 
 WINDOW = 8
 #: A line is frequent if more than MAX_DOCS contents of its host and more than MAX_DOC_SHARE of them have it.
@@ -77,13 +78,13 @@ def base_counts(docs: DataFrame) -> DataFrame:
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """One row for each line with a word: doc_id, host, content, row (an id of the row), line (hash of the normalised line), its words."""
+    """One row for each line with a word: doc_id, host, content, row (an id of the row), pos (from 0), line (hash of the normalised line), its words."""
     text = F.coalesce(F.col("text"), F.lit(""))
     head = ("doc_id", F.col("source").alias("host"), F.xxhash64(text).alias("content"), F.monotonically_increasing_id().alias("row"))
-    lines = docs.select(*head, F.split(text, "\n").alias("raw")).withColumn("raw", F.explode("raw"))
+    lines = docs.select(*head, F.split(text, "\n").alias("raw")).select("doc_id", "host", "content", "row", F.posexplode("raw").alias("pos", "raw"))
     lines = lines.where(F.trim("raw", F.lit(SPACES)) != "")
     return lines.select(
-        "doc_id", "host", "content", "row",
+        "doc_id", "host", "content", "row", "pos",
         F.xxhash64(F.translate(F.lower("raw"), DROPPED, "")).alias("line"),
         F.regexp_count("raw", F.lit(f"[^{SPACE}]+")).alias("line_words"),
     )
@@ -102,27 +103,48 @@ def quality(
     docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_DOC_SHARE, min_words: int = MIN_WORDS, min_share: float = MIN_SHARE
 ) -> DataFrame:
     """doc_id, base counts, base_failed, kept and n_removed_words of every row of docs (doc_id, text, source)."""
-    return verdicts(docs, max_docs, max_share, min_words, min_share).drop("host", "content")
+    return verdicts(docs, max_docs, max_share, min_words, min_share).drop("host", "content", "gone")
 
 
-def drop_rejected(docs: DataFrame) -> DataFrame:
-    """The rows of docs that quality() keeps, with all their columns."""
-    bad = sent_if_small(verdicts(docs).where("not kept").select("doc_id", "host", "content").distinct())
-    d, content = docs.alias("d"), F.xxhash64(F.coalesce(F.col("d.text"), F.lit("")))
-    same = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col("d.source").eqNullSafe(F.col("r.host")) & (content == F.col("r.content"))
-    return d.join(bad.alias("r"), same, "left_anti").select("d.*")
+def without(text: Column, gone: Column) -> Column:
+    """text without its lines at the places gone (from 0), the others in order."""
+    rest = lambda s: F.transform(F.array_except(F.sequence(F.lit(0), F.size(s) - 1), gone), lambda i: F.get(s, i))
+    return let(F.split(text, "\n"), lambda s: F.array_join(rest(s), "\n"))
+
+
+def cleaned(
+    docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_DOC_SHARE, min_words: int = MIN_WORDS, min_share: float = MIN_SHARE
+) -> DataFrame:
+    """The rows of docs that quality() keeps, with all their columns, their texts without the lines that it removes.
+
+    n_chars, where docs has it, is less by as many characters as text.
+    """
+    found = verdicts(docs, max_docs, max_share, min_words, min_share).where("not kept or n_removed_words > 0")
+    found = cut(found.select("doc_id", "host", "content", "kept", F.when(F.col("kept"), F.col("gone")).alias("gone")).distinct())
+    rows, places = found.agg(F.count("*"), F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()
+    if rows <= BROADCAST_ROWS and places <= 10 * BROADCAST_ROWS:
+        found = F.broadcast(found)
+    text = F.col("d.text")
+    same = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col("d.source").eqNullSafe(F.col("r.host")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("r.content"))
+    left = docs.alias("d").join(found.alias("r"), same, "left").where(F.coalesce("r.kept", F.lit(True)))
+    left = left.select(F.struct("d.*").alias("d"), F.when(F.col("r.gone").isNotNull(), without(text, F.col("r.gone"))).alias("less"))
+    new = {"text": F.coalesce("less", text)}
+    if "n_chars" in docs.columns:
+        n = F.col("d.n_chars")
+        new["n_chars"] = F.when(F.col("less").isNull(), n).otherwise((n - F.length(text) + F.length("less")).cast(docs.schema["n_chars"].dataType))
+    return left.select(*(new.get(c, F.col(f"d.`{c}`")).alias(c) for c in docs.columns))
 
 
 def verdicts(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_DOC_SHARE, min_words: int = MIN_WORDS, min_share: float = MIN_SHARE) -> DataFrame:
-    """What quality() returns, with host and content, which tell rows that repeat a doc_id apart."""
+    """What quality() returns, with host and content, which tell rows that repeat a doc_id apart, and gone, the places of removed lines."""
     lines = cut(line_rows(docs))
     frequent = frequent_lines(lines, max_docs, max_share)
     hit = lines.alias("l").join(
         frequent.alias("f"),
         F.col("l.host").eqNullSafe(F.col("f.host")) & (F.col("l.line") == F.col("f.line")) & ~F.col("l.doc_id").eqNullSafe(F.col("f.first_id")),
     )
-    by_row = hit.groupBy("l.doc_id", "l.host", "content", "row").agg(F.sum("line_words").alias("removed"))
-    removed = by_row.groupBy("doc_id", "host", "content").agg(F.max("removed").alias("removed"))
+    by_row = hit.groupBy("l.doc_id", "l.host", "content", "row").agg(F.sum("line_words").alias("removed"), F.sort_array(F.collect_list("pos")).alias("gone"))
+    removed = by_row.groupBy("doc_id", "host", "content").agg(F.max("removed").alias("removed"), F.max("gone").alias("places"))
     base = base_counts(docs)
     same = [F.col(f"b.{c}").eqNullSafe(F.col(f"r.{c}")) for c in ("doc_id", "host", "content")]
     rows = base.alias("b").join(removed.alias("r"), same, "left")
@@ -133,4 +155,5 @@ def verdicts(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_D
     return rows.select(
         "b.doc_id", "b.host", "b.content", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), gone.alias("n_removed_words"),
+        F.col("places").alias("gone"),
     )

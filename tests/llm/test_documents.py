@@ -66,6 +66,19 @@ def test_quality_rejects_the_depleted(spark):
     assert {r["doc_id"] for r in df.where("kept").collect()} == {0, 200, *range(100, 109)}
 
 
+def test_quality_removes_the_lines(spark):
+    """Frequent lines leave the texts of all but the first document; order, blank lines and other columns stay."""
+    own = lambda i: " ".join(f"own{i}x{k}" for k in range(20))
+    text = lambda i: f"Menu: home, news\n{own(i)}\n\nmenu home news\nlast {i}\nAll rights reserved."
+    rows = [(i, text(i), "s", len(text(i)), i % 2 == 0) for i in range(9)] + [(3, text(3), "s", len(text(3)), False), (None, text(50), "s", len(text(50)), True), (9, text(9), "t", 1, True), (10, "short", "s", 5, True)]
+    got = quality.cleaned(spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int, kept boolean"), max_docs=5)
+    less = lambda i: f"{own(i)}\n\nlast {i}"
+    expected = [(i, text(i) if i == 0 or s == "t" else less(50 if i is None else i), s, n, k) for i, _, s, n, k in rows[:-1]]
+    expected = [(i, t, s, n if i == 0 or s == "t" else len(t), k) for i, t, s, n, k in expected]
+    same(got.collect(), expected)
+    assert [f.dataType.simpleString() for f in got.schema] == ["bigint", "string", "string", "int", "boolean"]
+
+
 def test_language(docs, cases, none, spark):
     got = langid.identify(docs).collect()
     assert len(got) == len(cases) and all(0 <= r["score"] <= 1 for r in got)
