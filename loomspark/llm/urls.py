@@ -6,7 +6,8 @@ blocked by rules are trusted seeds; hosts with more than half of their pages blo
 seeds. Trust is a personalised PageRank from trusted seeds along links between hosts, distrust one
 from blocked seeds against the links (who links to the blocked is distrusted). Ranks are in units of
 one seed. A host is blocked if its distrust is at least MIN_SCORE of a seed, and if its share of all
-distrust is above its share of all trust: neither depends on how many seeds a corpus has.
+distrust is above its share of all trust: neither depends on how many seeds a corpus has. Ranks grow
+from below until all that is still to move, over all hosts, is at most TOLERANCE of a seed.
 
 Only DataFrame functions are used. Links are made distinct by host before they meet any rank, both
 propagations run in one loop, sums are combined on the map side, and joins are ones that adaptive
@@ -32,9 +33,11 @@ from loomspark.llm.common import cut, sent_if_small
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 MAX_RULES = 500
 DAMPING = 0.85
+#: Rounds that the SQL unrolls; the operator goes on until ranks are settled.
 ROUNDS = 8
 CUT_EVERY = 4
 MIN_SCORE = 1e-3
+TOLERANCE = MIN_SCORE / 100
 LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
 
@@ -65,19 +68,27 @@ def links(pages: DataFrame) -> DataFrame:
     return found.where((F.col("src") != F.col("dst")) & (F.col("src") != "")).distinct()
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """kind, host, rank after some rounds, from edges (kind, src, dst, part) and seeds (kind, host, seed)."""
+def propagate(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
+    """kind, host, settled rank, from edges (kind, src, dst, part) and seeds (kind, host, seed).
+
+    A round adds at most damping times what the one before it added, so CUT_EVERY rounds that added
+    some leave no more than rest times that for all rounds to come, whichever host it goes to.
+    """
+    total = lambda ranks: ranks.agg(F.coalesce(F.sum("rank"), F.lit(0.0))).first()[0]
+    rest = damping**CUT_EVERY / (1 - damping**CUT_EVERY)
     start = seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("rank"))
-    ranks = seeds.select("kind", "host", F.col("seed").alias("rank"))
-    for k in range(1, rounds + 1):
-        moved = edges.join(ranks.withColumnRenamed("host", "src"), ["kind", "src"]).select("kind", F.col("dst").alias("host"), (F.col("rank") * F.col("part") * damping).alias("rank"))
-        ranks = start.union(moved).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
-        if k % CUT_EVERY == 0:
-            ranks = cut(ranks)
+    ranks, before, left = start, total(start), float("inf")
+    while left > tolerance:
+        for _ in range(CUT_EVERY):
+            moved = edges.join(ranks.withColumnRenamed("host", "src"), ["kind", "src"]).select("kind", F.col("dst").alias("host"), (F.col("rank") * F.col("part") * damping).alias("rank"))
+            ranks = start.union(moved).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
+        ranks = cut(ranks)
+        now = total(ranks)
+        before, left = now, (now - before) * rest
     return ranks
 
 
-def host_scores(pages: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def host_scores(pages: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """host, distrust (in units of one seed), and the shares of all trust and distrust of the hosts that any reaches.
 
     pages has host, html and verdict (the rules').
@@ -91,7 +102,7 @@ def host_scores(pages: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     both = there.select(F.lit("trust").alias("kind"), "src", "dst").union(there.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst")))
     both = cut(both)
     out = both.groupBy("kind", "src").agg((1.0 / F.count("*")).alias("part"))
-    ranks = propagate(cut(both.join(out, ["kind", "src"])), seeds, rounds)
+    ranks = propagate(cut(both.join(out, ["kind", "src"])), seeds, tolerance)
     n = F.broadcast(seeds.groupBy("kind").agg(F.count("*").alias("n")))  # one row for each of the two kinds
     total = lambda k, c: F.coalesce(F.sum(F.when(F.col("kind") == k, c)), F.lit(0.0))
     share = F.col("rank") / F.col("n")
@@ -100,12 +111,12 @@ def host_scores(pages: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     )
 
 
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, rounds: int = ROUNDS, min_score: float = MIN_SCORE) -> DataFrame:
+def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, tolerance: float = TOLERANCE, min_score: float = MIN_SCORE) -> DataFrame:
     """page_id, host, path, rule and verdict of each row of pages (page_id, url, html)."""
     parts = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     parts = parts.withColumn("rule", rule).withColumn("verdict", verdict)
-    scores = host_scores(parts, rounds)
+    scores = host_scores(parts, tolerance)
     bad = scores.where((F.col("distrust") >= min_score) & (F.col("distrust_share") > F.col("trust_share"))).select("host", F.lit("block").alias("host_verdict"))
     joined = parts.drop("html").join(sent_if_small(bad), "host", "left")
     return joined.select("page_id", "host", "path", "rule", F.coalesce("verdict", "host_verdict", F.lit("allow")).alias("verdict"))

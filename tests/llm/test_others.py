@@ -130,6 +130,22 @@ def test_urls_at_any_number_of_seeds(spark):
         assert got == {-1: "block", -2: "allow"}
 
 
+def test_urls_along_a_chain(spark):
+    """Ranks are those of an exact solution, and hosts further than eight links from a blocked one are judged by them."""
+    import numpy as np
+
+    n = 40
+    pages = [(0, "http://bad.x.net/", "", None, 1.0)] + [(i, f"http://c{i}.example.com/", f'<a href="http://{"bad.x.net" if i == 1 else f"c{i - 1}.example.com"}/">', None, 1.0) for i in range(1, n)]
+    df = spark.createDataFrame(pages, PAGES)
+    parts = df.select(urls.host_of(df["url"]).alias("host"), "html").withColumn("verdict", urls.rule_of(urls.F.col("host"), urls.F.lit("/"))[1])
+    back = np.diag(np.ones(n - 1), -1)  # distrust goes from host i - 1 to host i
+    exact = np.linalg.solve(np.eye(n) - 0.85 * back, 0.15 * np.eye(n)[0])
+    got = {r["host"]: r["distrust"] for r in urls.host_scores(parts).collect()}
+    assert all(abs(got.get("bad.x.net" if i == 0 else f"c{i}.example.com", 0) - exact[i]) <= urls.TOLERANCE for i in range(n))
+    verdict = {r["page_id"]: r["verdict"] for r in urls.judge(df).collect()}
+    assert verdict == {i: "block" if exact[i] >= urls.MIN_SCORE else "allow" for i in range(n)} and verdict[30] == "block" != verdict[31]
+
+
 def test_pipeline(spark, docs, tmp_path):
     """Every stage against what it must keep, and run() against the stages one by one."""
     import test_documents as brute
