@@ -8,7 +8,8 @@ reaches MIN_SCORE:
 A word is near if it is in the NEAR characters before the span. Added spans never overlap base ones.
 
 Only DataFrame functions are used, inside each row: there is no shuffle. Splitting by a pattern gives
-the text between its matches, so the sums of lengths are the positions. Patterns are possessive
+the text between its matches, so the sums of lengths are the positions, and the NEAR characters
+before a match are kept from one to the next, earlier matches included. Patterns are possessive
 where that can't change a match, and start only where a run starts or the last match ended, so
 that long runs are scanned once and never recursed into; texts without a kind's telling character skip it.
 
@@ -41,28 +42,34 @@ KINDS = ("email", "ip", "card", "phone", "iban")
 
 
 def matches(text: Column, pattern: str, accept: Callable[[Column, Column], Column]) -> Column:
-    """Spans (s, e) of the leftmost matches of pattern for which accept(match, text before it) holds."""
+    """Spans (s, e) of the leftmost matches of pattern for which accept(match, the NEAR characters before it) holds."""
     both = F.zip_with(
         F.slice(F.split(text, pattern, -1), 1, F.size(F.regexp_extract_all(text, F.lit(pattern), 0))),
         F.regexp_extract_all(text, F.lit(pattern), 0),
-        lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m).alias("size"), accept(m, gap).alias("ok")),
+        lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m).alias("size"), last(gap).alias("between"), m.alias("m")),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast(SPAN).alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         s = acc["at"] + x["gap"]
         e = s + x["size"]
-        return F.struct(e.alias("at"), F.when(x["ok"], F.array_append(acc["out"], F.struct(s.alias("s"), e.alias("e")))).otherwise(acc["out"]).alias("out"))
+        before = last(F.concat(acc["tail"], x["between"]))
+        out = F.when(accept(x["m"], before), F.array_append(acc["out"], F.struct(s.alias("s"), e.alias("e")))).otherwise(acc["out"])
+        return F.struct(e.alias("at"), last(F.concat(acc["tail"], x["between"], last(x["m"]))).alias("tail"), out.alias("out"))
 
     return F.aggregate(both, start, step, lambda acc: acc["out"])
 
 
+def last(text: Column) -> Column:
+    return F.right(text, F.lit(NEAR))
+
+
 def digits(m: Column) -> Column:
     return F.regexp_replace(m, "[^0-9]", "")
 
 
-def near(gap: Column, words: str) -> Column:
-    return F.right(gap, F.lit(NEAR)).rlike(words)
+def near(before: Column, words: str) -> Column:
+    return before.rlike(words)
 
 
 def card_ok(m: Column) -> Column:
@@ -70,9 +77,9 @@ def card_ok(m: Column) -> Column:
     return F.length(d).between(16, 19) & F.call_function("luhn_check", d)
 
 
-def short_card_score(m: Column, gap: Column) -> Column:
+def short_card_score(m: Column, before: Column) -> Column:
     d = digits(m)
-    return F.when(F.length(d).between(13, 15) & F.call_function("luhn_check", d), F.lit(0.4) + F.when(near(gap, CARD_WORD), 0.3).otherwise(0.0)).otherwise(0.0)
+    return F.when(F.length(d).between(13, 15) & F.call_function("luhn_check", d), F.lit(0.4) + F.when(near(before, CARD_WORD), 0.3).otherwise(0.0)).otherwise(0.0)
 
 
 def phone_ok(m: Column) -> Column:
@@ -87,9 +94,9 @@ def mod97(m: Column) -> Column:
     return F.aggregate(moved, F.lit(0), lambda a, c: (a * F.when(c.between("0", "9"), 10).otherwise(100) + value(c)) % 97)
 
 
-def iban_score(m: Column, gap: Column) -> Column:
+def iban_score(m: Column, before: Column) -> Column:
     size = F.length(F.replace(m, F.lit(" "), F.lit("")))
-    return F.when(size.between(15, 34) & (mod97(m) == 1), F.lit(0.7) + F.when(near(gap, IBAN_WORD), 0.3).otherwise(0.0)).otherwise(0.0)
+    return F.when(size.between(15, 34) & (mod97(m) == 1), F.lit(0.7) + F.when(near(before, IBAN_WORD), 0.3).otherwise(0.0)).otherwise(0.0)
 
 
 def clear_of(spans: Column, base: Column) -> Column:
@@ -108,16 +115,16 @@ def find(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     rows = rows.withColumn("digit", text.rlike("[0-9]"))
     when = lambda test, found: F.when(test, found).otherwise(none)
     digit, enough = F.col("digit"), lambda p: F.col("digit") & text.rlike(p)
-    always = lambda m, gap: F.lit(True)
+    always = lambda m, before: F.lit(True)
     rows = rows.select(
         "doc_id",
         when(F.contains(text, F.lit("@")), matches(text, EMAIL, always)).alias("email"),
-        when(enough(r"[0-9]\.[0-9]"), matches(text, IP, lambda m, gap: m.rlike(rf"^{BYTE}(?:\.{BYTE}){{3}}$"))).alias("ip"),
-        when(digit, matches(text, CARD, lambda m, gap: card_ok(m))).alias("card"),
-        when(F.contains(text, F.lit("+")) & digit, matches(text, PHONE, lambda m, gap: phone_ok(m))).alias("phone"),
-        when(enough(CARD_WORD), matches(text, CARD, lambda m, gap: short_card_score(m, gap) >= min_score)).alias("short_card"),
-        when(enough(PHONE_WORD), matches(text, BARE_PHONE, lambda m, gap: F.lit(0.2) + F.when(near(gap, PHONE_WORD), 0.5).otherwise(0.0) >= min_score)).alias("bare_phone"),
-        when(enough("[A-Z]{2}[0-9]{2}"), matches(text, IBAN, lambda m, gap: iban_score(m, gap) >= min_score)).alias("iban"),
+        when(enough(r"[0-9]\.[0-9]"), matches(text, IP, lambda m, before: m.rlike(rf"^{BYTE}(?:\.{BYTE}){{3}}$"))).alias("ip"),
+        when(digit, matches(text, CARD, lambda m, before: card_ok(m))).alias("card"),
+        when(F.contains(text, F.lit("+")) & digit, matches(text, PHONE, lambda m, before: phone_ok(m))).alias("phone"),
+        when(enough(CARD_WORD), matches(text, CARD, lambda m, before: short_card_score(m, before) >= min_score)).alias("short_card"),
+        when(enough(PHONE_WORD), matches(text, BARE_PHONE, lambda m, before: F.lit(0.2) + F.when(near(before, PHONE_WORD), 0.5).otherwise(0.0) >= min_score)).alias("bare_phone"),
+        when(enough("[A-Z]{2}[0-9]{2}"), matches(text, IBAN, lambda m, before: iban_score(m, before) >= min_score)).alias("iban"),
     )
     base = F.concat("email", "ip", "card", "phone")
     rows = rows.select("*", *(clear_of(F.col(c), base).alias(f"more_{c}") for c in ("short_card", "bare_phone", "iban")))

@@ -301,6 +301,18 @@ def test_pii(docs, cases, none):
     assert pii.find(none).count() == 0
 
 
+def test_pii_words_before_earlier_numbers(spark):
+    """A word serves every span within 40 characters after it, whatever numbers stand between, and none further off."""
+    texts = ["Phone: 555-123-4567 or 555-987-6543", "amex card (exp 12/26) 378282246310005", "phone 555 123 4567 " + "x" * 40 + " 555 987 6543", "555-123-4567 phone", "é😀 tel 1 555-123-4567, 555-987-6543, 555-222-3333, 555-444-5555"]
+    got = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    found = lambda i, kind, *parts: ",".join(f"{kind}:{texts[i].index(x)}:{texts[i].index(x) + len(x)}" for x in parts)
+    assert got[0] == found(0, "phone", "555-123-4567", "555-987-6543")
+    assert got[1] == found(1, "card", "378282246310005")
+    assert got[2] == found(2, "phone", "555 123 4567")
+    assert got[3] == ""
+    assert got[4] == found(4, "phone", "555-123-4567", "555-987-6543", "555-222-3333")
+
+
 def test_dedup(docs, cases, none):
     groups = defaultdict(list)
     for c in cases:
