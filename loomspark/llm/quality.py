@@ -3,8 +3,8 @@
 Only DataFrame functions are used. Base counts are taken inside each row. For the verdict, every
 line with a word is normalised (lower case; blanks and punctuation dropped) and hashed.
 Per host (column ``source``) and line the distinct document contents are counted: exact copies of
-one document count once. A line above both limits (an absolute number and a share of the host's
-contents) is removed from every document of the host but the first (smallest doc_id) that has it.
+one document count once. A line above both limits (an absolute number, and a share of the host's
+contents that stops growing at ENOUGH_DOCS, however large the host) is removed from every document of the host but the first (smallest doc_id) that has it.
 A document is depleted, and rejected, if fewer than MIN_WORDS words or less than MIN_SHARE of its
 words remain. quality() counts what is removed; cleaned() returns the kept texts without it.
 
@@ -29,6 +29,8 @@ WINDOW = 8
 #: A line is frequent if more than MAX_DOCS contents of its host and more than MAX_DOC_SHARE of them have it.
 MAX_DOCS = 20
 MAX_DOC_SHARE = 0.02
+#: More contents than these are frequent whatever their share, so that a hot host hides no line.
+ENOUGH_DOCS = 1000
 MIN_WORDS = 5
 MIN_SHARE = 0.3
 DROPPED = SPACES + ".,;:!?'\"()-"
@@ -90,13 +92,13 @@ def line_rows(docs: DataFrame) -> DataFrame:
     )
 
 
-def frequent_lines(lines: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_DOC_SHARE) -> DataFrame:
-    """host, line, n_docs and first_id of the lines above both limits."""
+def frequent_lines(lines: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_DOC_SHARE, enough: int = ENOUGH_DOCS) -> DataFrame:
+    """host, line, n_docs and first_id of the lines above both limits, that of the share being enough at most."""
     once = lines.groupBy("host", "line", "content").agg(F.min("doc_id").alias("first_id"))
     n_docs = once.groupBy("host", "line").agg(F.count("*").alias("n_docs"), F.min("first_id").alias("first_id")).where(F.col("n_docs") > max_docs)
     hosts = lines.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
     joined = n_docs.alias("l").join(hosts.alias("h"), F.col("l.host").eqNullSafe(F.col("h.host")))
-    return joined.where(F.col("n_docs") > max_share * F.col("host_docs")).select("l.host", "line", "n_docs", "first_id")
+    return joined.where(F.col("n_docs") > F.least(max_share * F.col("host_docs"), F.lit(float(enough)))).select("l.host", "line", "n_docs", "first_id")
 
 
 def quality(

@@ -66,6 +66,16 @@ def test_quality_rejects_the_depleted(spark):
     assert {r["doc_id"] for r in df.where("kept").collect()} == {0, 200, *range(100, 109)}
 
 
+def test_quality_lines_of_a_hot_host(spark):
+    """A line of 1,112 contents is frequent in a host of 60,000, where the share alone would ask for more than 1,200."""
+    from pyspark.sql import functions as F
+
+    body = F.concat(F.lit("own "), F.col("id").cast("string"), F.lit(" a b c d e f g h i j k l m n o p q r s t"))
+    docs = spark.range(60000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 54 == 0, F.concat(body, F.lit("\nAll rights reserved."))).when(F.col("id") % 61 == 0, F.concat(body, F.lit("\nRarer line"))).otherwise(body).alias("text"), F.lit("hot").alias("source"))
+    got = {r["doc_id"] for r in quality.quality(docs).where("n_removed_words > 0").collect()}
+    assert got == set(range(54, 60000, 54))
+
+
 def test_quality_removes_the_lines(spark):
     """Frequent lines leave the texts of all but the first document; order, blank lines and other columns stay."""
     own = lambda i: " ".join(f"own{i}x{k}" for k in range(20))
