@@ -3,7 +3,7 @@
 Rules decide where one fits: its host or a subdomain of it, and a path that starts with the rule's;
 the longest rule wins. For other urls the host is judged. Hosts of whose pages more are allowed than
 blocked by rules are trusted seeds; hosts with more than half of their pages blocked are blocked
-seeds. Trust is a personalised PageRank from trusted seeds along links between hosts, distrust one
+seeds. So are hosts that are linked to but own no page, if rules decide all their urls alike. Trust is a personalised PageRank from trusted seeds along links between hosts, distrust one
 from blocked seeds against the links (who links to the blocked is distrusted). Ranks are in units of
 one seed. A host is blocked if its distrust is at least MIN_SCORE of a seed, and if its share of all
 distrust is above its share of all trust: neither depends on how many seeds a corpus has. Ranks grow
@@ -61,6 +61,17 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULES
     return which, verdict
 
 
+def rule_of_all(host: Column, rules: Sequence[tuple[str, str]] = RULES) -> Column:
+    """The verdict that rules give to every url of a host, whatever its path; null if there is none."""
+    verdict = F.lit(None).cast("string")
+    for kind, rule in sorted(rules, key=lambda r: len(r[1])):
+        name, _, rest = rule.partition("/")
+        fits = (host == name) | host.endswith(f".{name}")
+        # A longer rule for some paths leaves the verdict of all as it is, or takes it away.
+        verdict = F.when(fits if not rest else fits & (verdict != kind), F.lit(None if rest else kind)).otherwise(verdict)
+    return verdict
+
+
 def links(pages: DataFrame) -> DataFrame:
     """Distinct (src, dst) links between different hosts, from pages (host, html)."""
     found = pages.where(F.contains("html", F.lit("//"))).select(F.col("host").alias("src"), F.explode(F.regexp_extract_all("html", F.lit(LINK), 1)).alias("dst"))
@@ -88,7 +99,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE,
     return ranks
 
 
-def host_scores(pages: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+def host_scores(pages: DataFrame, tolerance: float = TOLERANCE, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
     """host, distrust (in units of one seed), and the shares of all trust and distrust of the hosts that any reaches.
 
     pages has host, html and verdict (the rules').
@@ -97,8 +108,11 @@ def host_scores(pages: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
         F.count_if(F.col("verdict") == "allow").alias("allowed"), F.count_if(F.col("verdict") == "block").alias("blocked"), F.count("*").alias("n")
     )
     kind = F.when(F.col("allowed") > F.col("blocked"), "trust").when(2 * F.col("blocked") > F.col("n"), "distrust")
-    seeds = cut(counted.select(kind.alias("kind"), "host", F.lit(1.0).alias("seed")).where("kind is not null"))
-    there = links(pages)
+    there = cut(links(pages))
+    target = there.select(F.col("dst").alias("host"), F.replace(F.replace(rule_of_all(F.col("dst"), rules), F.lit("allow"), F.lit("trust")), F.lit("block"), F.lit("distrust")).alias("kind"))
+    unseen = target.where("kind is not null").distinct().join(counted.select("host"), "host", "left_anti")
+    seeds = counted.select(kind.alias("kind"), "host").where("kind is not null").union(unseen.select("kind", "host"))
+    seeds = cut(seeds.withColumn("seed", F.lit(1.0)))
     both = there.select(F.lit("trust").alias("kind"), "src", "dst").union(there.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst")))
     both = cut(both)
     out = both.groupBy("kind", "src").agg((1.0 / F.count("*")).alias("part"))
@@ -116,7 +130,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, tolerance:
     parts = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     parts = parts.withColumn("rule", rule).withColumn("verdict", verdict)
-    scores = host_scores(parts, tolerance)
+    scores = host_scores(parts, tolerance, rules)
     bad = scores.where((F.col("distrust") >= min_score) & (F.col("distrust_share") > F.col("trust_share"))).select("host", F.lit("block").alias("host_verdict"))
     joined = parts.drop("html").join(sent_if_small(bad), "host", "left")
     return joined.select("page_id", "host", "path", "rule", F.coalesce("verdict", "host_verdict", F.lit("allow")).alias("verdict"))

@@ -146,6 +146,19 @@ def test_urls_along_a_chain(spark):
     assert verdict == {i: "block" if exact[i] >= urls.MIN_SCORE else "allow" for i in range(n)} and verdict[30] == "block" != verdict[31]
 
 
+def test_urls_of_blocked_hosts_without_pages(spark):
+    """A host that links to a blocked host nobody crawled is blocked; one whose rules depend on the path is no seed."""
+    link = lambda h: f'<a href="http://{h}/x">x</a>'
+    pages = [(1, "http://fan.example.com/", link("bad.x.net"), None, 1.0), (2, "http://other.example.com/", link("fine.example.com"), None, 1.0), (3, "http://third.example.com/", link("a.example.net"), None, 1.0), (4, "http://farther.example.com/", link("fan.example.com"), None, 1.0)]
+    got = {r["page_id"]: r["verdict"] for r in urls.judge(spark.createDataFrame(pages, PAGES)).collect()}
+    assert got == {1: "block", 2: "allow", 3: "allow", 4: "block"}
+    hosts = spark.createDataFrame([("bad.x.net",), ("a.example.net",), ("x.org",), ("example.com",)], "host string")
+    assert [r[0] for r in hosts.select(urls.rule_of_all(urls.F.col("host"))).collect()] == ["block", None, None, None]
+    rules = (("block", "com/a/"), ("allow", "good.com/"), ("block", "good.com/b/"), ("allow", "org/"), ("allow", "org/c/"), ("block", "bad.org/"))
+    hosts = spark.createDataFrame([("good.com",), ("org",), ("x.bad.org",), ("com",)], "host string")
+    assert [r[0] for r in hosts.select(urls.rule_of_all(urls.F.col("host"), rules)).collect()] == [None, "allow", "block", None]
+
+
 def test_pipeline(spark, docs, tmp_path):
     """Every stage against what it must keep, and run() against the stages one by one."""
     import test_documents as brute
