@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import cut, partitions, sent_if_small, small_batches
+from loomspark.llm.common import cut, partitions, sent_if_small
 from loomspark.llm.graph import components
 
 SHINGLE = 3
@@ -62,8 +62,6 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id and fp (signed) of each row."""
-    small_batches(docs.sparkSession)
-
     @F.pandas_udf("long")
     def _fingerprints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
@@ -88,18 +86,18 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET
         raise ValueError("two segments with one masked bit find two differing bits")
     # Each fingerprint becomes 64 rows here: spread them first, whatever few partitions the narrow input came in.
     keys = variants(fps.repartition(partitions(fps.sparkSession)))
-    buckets = cut(keys.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v")).where("n > 1"))
-    near = bit_distance(F.col("u"), F.col("v")) <= max_bits
-    two = buckets.where("n = 2").where(near).select("u", "v")
-    crowd = cut(keys.join(buckets.where("n > 2").select("key", "n"), "key"))
+    # Keys alone are counted, combined on the map side, so a hot key is no hot task. Only fingerprints of shared keys are
+    # kept. The join is by merge at every size: it spills, adaptive execution splits hot keys, and its cost stays in proportion.
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    crowd = cut(keys.join(shared.hint("merge"), "key"))
     some = crowd.where(F.col("n") <= max_bucket)
     # Fingerprints alike in a whole segment share its 32 variants; only the first of them makes the pair.
     segment = F.expr("shiftrightunsigned(a.fp ^ b.fp, 32 * cast(shiftright(a.key, 37) as int)) & 4294967295L")
     first = (segment != 0) | (F.expr("shiftright(a.key, 32) % 32") == 0)
-    joined = some.alias("a").join(some.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp")) & (bit_distance(F.col("a.fp"), F.col("b.fp")) <= max_bits) & first)
-    pairs = joined.select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v"))
+    near = bit_distance(F.col("a.fp"), F.col("b.fp")) <= max_bits
+    pairs = some.alias("a").join(some.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp")) & near & first)
     many = crowd.where(F.col("n") > max_bucket).select("fp").distinct()
-    return two.union(pairs).union(centred(many)).distinct()
+    return pairs.select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v")).union(centred(many)).distinct()
 
 
 def centred(fps: DataFrame) -> DataFrame:
