@@ -8,8 +8,7 @@ contents that stops growing at ENOUGH_DOCS, however large the host) is removed f
 A document is depleted, and rejected, if fewer than MIN_WORDS words or less than MIN_SHARE of its
 words remain. quality() counts what is removed; cleaned() returns the kept texts without it.
 
-Shuffles carry hashes only (cleaned() moves texts once, if the rows that it changes are too many
-to send to every executor): distinct (host, line, content) triples spread a hot host
+Shuffles carry hashes only (cleaned() moves texts once, at every size): distinct (host, line, content) triples spread a hot host
 and a hot line over all tasks before anything is counted, counts are combined on the map side, and
 the join of lines to frequent lines is one that adaptive execution splits when a key is hot.
 
@@ -23,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import BROADCAST_ROWS, SPACE, SPACES, cut, let, word_array
+from loomspark.llm.common import SPACE, SPACES, cut, let, word_array
 
 WINDOW = 8
 #: A line is frequent if more than MAX_DOCS contents of its host and more than MAX_DOC_SHARE of them have it.
@@ -39,20 +38,26 @@ DROPPED = SPACES + ".,;:!?'\"()-"
 def repeated_words(words: Column, window: int = WINDOW) -> Column:
     """Words that lie in a window found at least twice in the array.
 
-    Windows are compared by 64-bit hashes. Most arrays repeat none, which a hash set of longs
-    tells; only the others are sorted, and the union of their windows is measured in one fold.
+    Hashes of windows of 1, 2, 4 ... words come from pairs of those half as long. Most arrays repeat
+    no window, which a hash set of longs tells. In the others the windows are sorted by two hashes,
+    neighbours are verified word by word, and the union of those that repeat is measured in one fold.
     """
-    hashes = F.when(
-        F.size(words) >= window,
-        F.transform(F.sequence(F.lit(1), F.size(words) - (window - 1)), lambda i: F.xxhash64(F.slice(words, i, window))),
-    ).otherwise(F.array().cast("array<bigint>"))
+    if window & (window - 1):
+        raise ValueError("windows are of 1, 2, 4, 8 ... words")
+    at = lambda i: F.slice(words, i + 1, window)
+    hashes, half = F.transform(words, lambda w: F.xxhash64(w)), 1
+    while half < window:
+        hashes = let(hashes, lambda h, half=half: F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + half))))
+        half *= 2
+    hashes = F.slice(hashes, 1, F.greatest(F.size(words) - (window - 1), F.lit(0)))
 
     def covered(h: Column) -> Column:
-        ordered = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
-        again = let(
-            ordered,
-            lambda s: F.filter(s, lambda e, k: (F.get(s, k + 1)["x"] == e["x"]) | ((k > 0) & (F.get(s, F.greatest(k - 1, F.lit(0)))["x"] == e["x"]))),
-        )
+        ordered = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("x"), F.hash(at(i)).alias("y"), i.alias("i"))))
+
+        def alike(a: Column, b: Column) -> Column:
+            return F.coalesce((a["x"] == b["x"]) & (a["y"] == b["y"]) & (at(a["i"]) == at(b["i"])), F.lit(False))
+
+        again = let(ordered, lambda s: F.filter(s, lambda e, k: alike(F.get(s, k + 1), e) | ((k > 0) & alike(F.get(s, F.greatest(k - 1, F.lit(0))), e))))
         start = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
         return F.aggregate(
             F.sort_array(F.transform(again, lambda e: e["i"])),
@@ -64,31 +69,24 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
     return let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h))).cast("long")
 
 
-def base_counts(docs: DataFrame) -> DataFrame:
-    """doc_id, host, content (a hash of the text) and the base counts of every row."""
+def parsed(docs: DataFrame) -> DataFrame:
+    """All that is taken from a text, in one pass: doc_id, host, content (a hash of the text), row (an id of the row), base counts, and
+    lines, which has pos (from 0), line (hash of the normalised line) and words of every line with a word."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.trim(x, F.lit(SPACES)) != "")
-    counted = docs.select("doc_id", F.col("source").alias("host"), F.xxhash64(text).alias("content"), word_array(F.col("text")).alias("words"), text.alias("text"))
-    return counted.select(
-        "doc_id", "host", "content",
-        F.size("words").cast("long").alias("n_words"),
-        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
-        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col("words")).alias("n_repeat_words"),
+    split = docs.select(
+        "doc_id", F.col("source").alias("host"), F.xxhash64(text).alias("content"), F.monotonically_increasing_id().alias("row"), word_array(F.col("text")).alias("words"),
+        F.filter(F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("pos"), x.alias("raw"))), lambda x: F.trim(x["raw"], F.lit(SPACES)) != "").alias("lines"),
+        (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
     )
-
-
-def line_rows(docs: DataFrame) -> DataFrame:
-    """One row for each line with a word: doc_id, host, content, row (an id of the row), pos (from 0), line (hash of the normalised line), its words."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    head = ("doc_id", F.col("source").alias("host"), F.xxhash64(text).alias("content"), F.monotonically_increasing_id().alias("row"))
-    lines = docs.select(*head, F.split(text, "\n").alias("raw")).select("doc_id", "host", "content", "row", F.posexplode("raw").alias("pos", "raw"))
-    lines = lines.where(F.trim("raw", F.lit(SPACES)) != "")
-    return lines.select(
-        "doc_id", "host", "content", "row", "pos",
-        F.xxhash64(F.translate(F.lower("raw"), DROPPED, "")).alias("line"),
-        F.regexp_count("raw", F.lit(f"[^{SPACE}]+")).alias("line_words"),
+    line = lambda x: F.struct(
+        x["pos"].alias("pos"), F.xxhash64(F.translate(F.lower(x["raw"]), DROPPED, "")).alias("line"), F.regexp_count(x["raw"], F.lit(f"[^{SPACE}]+")).alias("words")
+    )
+    return split.select(
+        "doc_id", "host", "content", "row",
+        F.size("words").cast("long").alias("n_words"), F.length(F.array_join("words", "")).cast("long").alias("word_chars"), "n_symbols",
+        (F.size("lines") - F.size(F.array_distinct(F.col("lines.raw")))).cast("long").alias("n_dup_lines"),
+        repeated_words(F.col("words")).alias("n_repeat_words"),
+        F.transform("lines", line).alias("lines"),
     )
 
 
@@ -122,10 +120,8 @@ def cleaned(
     n_chars, where docs has it, is less by as many characters as text.
     """
     found = verdicts(docs, max_docs, max_share, min_words, min_share).where("not kept or n_removed_words > 0")
-    found = cut(found.select("doc_id", "host", "content", "kept", F.when(F.col("kept"), F.col("gone")).alias("gone")).distinct())
-    rows, places = found.agg(F.count("*"), F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()
-    if rows <= BROADCAST_ROWS and places <= 10 * BROADCAST_ROWS:
-        found = F.broadcast(found)
+    # By merge at every size: the rows to change grow with the corpus, so texts move once, whatever their number.
+    found = found.select("doc_id", "host", "content", "kept", F.when(F.col("kept"), F.col("gone")).alias("gone")).distinct().hint("merge")
     text = F.col("d.text")
     same = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col("d.source").eqNullSafe(F.col("r.host")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("r.content"))
     left = docs.alias("d").join(found.alias("r"), same, "left").where(F.coalesce("r.kept", F.lit(True)))
@@ -139,23 +135,19 @@ def cleaned(
 
 def verdicts(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_DOC_SHARE, min_words: int = MIN_WORDS, min_share: float = MIN_SHARE) -> DataFrame:
     """What quality() returns, with host and content, which tell rows that repeat a doc_id apart, and gone, the places of removed lines."""
-    lines = cut(line_rows(docs))
+    rows = cut(parsed(docs))
+    lines = rows.select("doc_id", "host", "content", "row", F.inline("lines"))
     frequent = frequent_lines(lines, max_docs, max_share)
     hit = lines.alias("l").join(
         frequent.alias("f"),
         F.col("l.host").eqNullSafe(F.col("f.host")) & (F.col("l.line") == F.col("f.line")) & ~F.col("l.doc_id").eqNullSafe(F.col("f.first_id")),
     )
-    by_row = hit.groupBy("l.doc_id", "l.host", "content", "row").agg(F.sum("line_words").alias("removed"), F.sort_array(F.collect_list("pos")).alias("gone"))
-    removed = by_row.groupBy("doc_id", "host", "content").agg(F.max("removed").alias("removed"), F.max("gone").alias("places"))
-    base = base_counts(docs)
-    same = [F.col(f"b.{c}").eqNullSafe(F.col(f"r.{c}")) for c in ("doc_id", "host", "content")]
-    rows = base.alias("b").join(removed.alias("r"), same, "left")
+    removed = hit.groupBy("row").agg(F.sum("words").cast("long").alias("removed"), F.sort_array(F.collect_list("pos")).alias("gone"))
     gone = F.coalesce(F.col("removed"), F.lit(0))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     left = F.col("n_words") - gone
     depleted = (gone > 0) & ((left < min_words) | (left < min_share * F.col("n_words")))
-    return rows.select(
-        "b.doc_id", "b.host", "b.content", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), gone.alias("n_removed_words"),
-        F.col("places").alias("gone"),
+    return rows.drop("lines").join(removed, "row", "left").select(
+        "doc_id", "host", "content", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), gone.alias("n_removed_words"), "gone",
     )
