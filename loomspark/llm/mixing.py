@@ -86,7 +86,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     same = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id"))
     apart = lambda df, how: df.alias("d").join(shared.alias("r"), same, how).select("d.*")
     some = not shared.isEmpty()
-    single = (apart(takes, "left_anti") if some else takes).where("copies > 0").select("doc_id", "copies")
+    single = (apart(takes, "left_anti") if some else takes).where("copies > 0").select("doc_id", "copies").hint("merge")  # alike at every size
     row = F.struct("d.*").alias("row")
     out = docs.alias("d").join(single.alias("t"), F.col("d.doc_id") == F.col("t.doc_id")).select(row, "t.copies")
     if some:
