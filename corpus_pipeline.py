@@ -1,6 +1,7 @@
 """A training corpus from documents, in five stages: quality rules, exact and near copies, mixing, tokens.
 
-Each stage gets what the one before it wrote, and all but the last return the columns of documents.
+Each stage gets what the one before it wrote, and all but the last return the columns of documents. The last one
+returns the corpus as token ids, with doc_id, lang, source, the number of tokens and digests of ids and decoded text.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode_texts(docs)
+    return bpe.encode_texts(docs, ids=True, carry=("doc_id", "lang", "source"))
 
 
 STAGES = [("quality rules", quality_rules), ("exact dedup", exact_dedup), ("simhash near dedup", near_dedup), ("mixing", mix_sources), ("bpe", encode)]

@@ -20,15 +20,13 @@ import hashlib
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import small_batches
-
 #: Words that one generation of the cache holds, and pairs that the compatibility table remembers.
 CACHE_WORDS = 150_000
 CACHE_PAIRS = 1_000_000
@@ -239,10 +237,13 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def encode_texts(docs: DataFrame, name: str = "word_bpe_49k.json", keep: bool = False) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each row of docs (doc_id, text); keep adds ids and decoded."""
-    small_batches(docs.sparkSession)
-    kinds = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary, decoded string" * keep
+def encode_texts(docs: DataFrame, name: str = "word_bpe_49k.json", ids: bool = False, decoded: bool = False, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The columns carry of docs, n_tokens, ids_sha256, decoded_sha256 of each row of docs (text).
+
+    ids adds the ids (little-endian unsigned 32-bit integers), decoded the decoded text.
+    """
+    extra = ["ids binary"] * ids + ["decoded string"] * decoded
+    kinds = ", ".join(["n_tokens long, ids_sha256 string, decoded_sha256 string", *extra])
 
     @F.pandas_udf(kinds)
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -250,10 +251,10 @@ def encode_texts(docs: DataFrame, name: str = "word_bpe_49k.json", keep: bool =
         for batch in texts:
             rows = []
             for text in batch:
-                ids = t.encode(text)
-                decoded = t.decode(ids)
-                row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest())
-                rows.append((*row, ids, decoded.decode()) if keep else row)
+                made = t.encode(text)
+                back = t.decode(made)
+                row = (len(made) // 4, hashlib.sha256(made).hexdigest(), hashlib.sha256(back).hexdigest())
+                rows.append(row + (made,) * ids + (back.decode(),) * decoded)
             yield pd.DataFrame(rows, columns=[k.split()[0] for k in kinds.split(", ")])
 
-    return docs.select("doc_id", run("text").alias("r")).select("doc_id", "r.*")
+    return docs.select(*carry, run("text").alias("r")).select(*carry, "r.*")
