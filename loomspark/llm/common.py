@@ -6,6 +6,7 @@ import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 #: The characters between words, as a regular expression class body and as a literal set.
 SPACE = r"\x20\x09-\x0D"
@@ -59,26 +60,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-#: Rows of identifiers and hashes that may be sent to every executor: a few MB.
-BROADCAST_ROWS = 50_000
+#: Bytes of identifiers and hashes that may be sent to every executor.
+BROADCAST_BYTES = 4 << 20
 
 
-def sent_if_small(keys: DataFrame) -> DataFrame:
-    """Narrow keys, computed once; broadcast only if they are counted and few, else joined by a shuffle."""
-    keys = cut(keys)
-    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
-
-
-#: Rows that a Python worker gets at a time.
-TEXT_ROWS = 1000
+def weight(df: DataFrame) -> int:
+    """Bytes that the values of df take, and 16 more a row."""
+    sizes = [F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType in (StringType(), BinaryType()) else F.lit(8) for f in df.schema.fields]
+    return df.agg(F.coalesce(F.sum(sum(sizes, F.lit(16)).cast("long")), F.lit(0))).first()[0]
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of TEXT_ROWS rows for this session, unless it asks for other than the default of 10,000.
-
-    Rows are whole texts here, and a worker holds its batch several times over: as Arrow, as strings
-    and as results. The default would make a batch of most of a task.
-    """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":
-        spark.conf.set(key, str(TEXT_ROWS))
+def sent_if_small(keys: DataFrame) -> DataFrame:
+    """Narrow keys (numbers and strings), computed once; broadcast only if their bytes are summed and few, else joined by a shuffle."""
+    keys = cut(keys)
+    return F.broadcast(keys) if weight(keys) <= BROADCAST_BYTES else keys

@@ -26,8 +26,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import small_batches
-
 ORDERS = (1, 3)
 BITS = 16
 SMOOTH = 0.5
@@ -157,7 +155,6 @@ def predict_batch(texts: list[str | None], langs: list[str], logs, prior) -> tup
 
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred and score of each row of docs (doc_id, text, lang)."""
-    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(train(docs))
 
     @F.pandas_udf("lang_pred string, score double")
