@@ -15,6 +15,12 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def events_of(spark: SparkSession, table: DataFrame) -> DataFrame:
+    """A table's file as a stream."""
+    folder, _, name = table.inputFiles()[0].rpartition("/")
+    return spark.readStream.schema(table.schema).option("pathGlobFilter", name).parquet(folder)
+
+
 def o2_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tumbling windows of the event stream, complete mode."""
     counts = pipeline.windowed_counts(_events(spark, sf_dir)).select(F.col("w.start").alias("start"), "event_type", "n")

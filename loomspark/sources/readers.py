@@ -12,6 +12,7 @@ from loomspark import schemas
 from loomspark.functions import text as T
 
 AUDIO = ("mp3", "wav", "flac", "m4a", "aac", "ogg", "opus", "wma")
+WEB_AUDIO = ("mp3", "wav", "flac", "m4a", "aac", "mp4", "ogg", "webm")
 SIDECAR = (
     "file_name string, source string, pipeline_version string, chunk_index int, audio_path string, sample_rate int, duration double, "
     "sentences array<struct<utt_id:string,speaker_id:string,speaker_min_similarity:double,text:string,language:string,"
@@ -57,6 +58,31 @@ def unprocessed(paths: DataFrame, path: str = "relative_path") -> DataFrame:
     return paths.where(~F.contains(name, F.lit("_processed")) & ~F.contains(name, F.lit(".temp")) & name.rlike(rf"\.({'|'.join(AUDIO)})$"))
 
 
+def expanded(spark: SparkSession, root: str, extensions: Sequence[str] | None = None) -> DataFrame:
+    """top and relative_path of all visible files below the first-level names of a folder, listed by tasks."""
+    out = files(spark, root, extensions)
+    return out.select(F.split_part("relative_path", F.lit("/"), F.lit(1)).alias("top"), "relative_path", "file_size")
+
+
+def pruned_paths(paths: DataFrame, prune: Sequence[str] = (), extensions: Sequence[str] = WEB_AUDIO, path: str = "relative_path") -> DataFrame:
+    """Audio files of a web crawl: no folder of the pruned names, no name that begins with a dot or ~ or holds .temp."""
+    parts = F.split(path, "/")
+    name = F.element_at(parts, -1)
+    inside = F.exists(F.slice(parts, 1, F.size(parts) - 1), lambda d: d.isin(*prune)) if prune else F.lit(False)
+    return paths.where(~inside & ~name.rlike(r"^[.~]") & ~F.contains(name, F.lit(".temp")) & T.extension(F.col(path)).isin(*extensions))
+
+
+def shards(paths: DataFrame, prefix: str, path: str = "relative_path") -> DataFrame:
+    """Parts <prefix>_part-NNNNN.parquet of one folder with their numbers, in order."""
+    number = F.regexp_extract(F.element_at(F.split(path, "/"), -1), rf"^{prefix}_part-([0-9]+)\.parquet$", 1)
+    return paths.withColumn("part", number.try_cast("long")).where("part is not null").orderBy(path)
+
+
+def part_rows(spark: SparkSession, path: str) -> DataFrame:
+    """part and n_rows of each parquet file: no column is read, so the counts come from the footers."""
+    return spark.read.option("recursiveFileLookup", "true").parquet(path).groupBy(F.col("_metadata.file_path").alias("part")).agg(F.count("*").alias("n_rows"))
+
+
 def file_list(spark: SparkSession, path: str, extensions: Sequence[str] = AUDIO) -> DataFrame:
     """Paths in a text file, one a line, with whether each is taken."""
     lines = spark.read.text(path).select(F.trim("value").alias("relative_path")).where("relative_path <> ''")
@@ -112,9 +138,9 @@ def sidecar_path(audio: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(audio, r"(^|/)audios/", "$1jsons/"), r"\.wav$", ".json")
 
 
-def sidecars(spark: SparkSession, path: str) -> DataFrame:
-    """One row for each sentence of sidecar JSON files, with the chunk's key."""
-    one = spark.read.schema(SIDECAR).json(path, multiLine=True).withColumn("s", F.explode("sentences"))
+def sidecars(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """One row for each sentence of sidecar JSON files (or JSON lines), with the chunk's key."""
+    one = spark.read.schema(SIDECAR).json(path, multiLine=not lines).withColumn("s", F.explode("sentences"))
     return one.select(
         F.concat_ws("#", "source", F.col("chunk_index").cast("string")).alias("chunk"), "source", "chunk_index", F.col("audio_path").alias("chunk_audio_path"),
         F.col("duration").alias("chunk_duration"), "s.utt_id", "s.speaker_id", "s.speaker_min_similarity", F.col("s.time_range.start").alias("seg_start"),

@@ -93,6 +93,20 @@ def as_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
+def log_lines(df: DataFrame, level: str, message: Column) -> DataFrame:
+    """Structured log records: level, message and all other columns as fields, one JSON object each."""
+    fields = F.struct(F.lit(level).alias("level"), message.alias("message"), *(F.col(c) for c in df.columns))
+    return df.select(F.to_json(fields).alias("value"))
+
+
+def shortened(text: Column, limit: int = 2048) -> Column:
+    """message() as an expression (K19): as many whole characters as fit into so many bytes of UTF-8."""
+    sizes = F.transform(F.split(F.left(text, F.lit(limit)), ""), lambda c: F.struct(c.alias("c"), F.octet_length(c).alias("n")))
+    start = F.struct(F.lit(0).alias("bytes"), F.lit(0).alias("chars"))
+    fit = F.aggregate(sizes, start, lambda a, x: F.struct((a["bytes"] + x["n"]).alias("bytes"), (a["chars"] + F.when(a["bytes"] + x["n"] <= limit, 1).otherwise(0)).alias("chars")))
+    return F.when(F.octet_length(text) <= limit, text).otherwise(F.left(text, fit["chars"]))
+
+
 SECRETS = ("token", "api_key", "apikey", "secret", "password", "passwd", "credential", "authorization")
 
 

@@ -43,6 +43,7 @@ def empty_as_error(rows: DataFrame, inputs: DataFrame) -> DataFrame:
 def run_batch(stage: Stage, out: str) -> Callable[[DataFrame, int], None]:
     def work(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
+        batch = kept = batch.persist()  # read several times below
         if stage.only_valid:
             batch = batch.where(~has_error(F.col("error")))
         try:
@@ -51,15 +52,26 @@ def run_batch(stage: Stage, out: str) -> Callable[[DataFrame, int], None]:
         except Exception as e:  # nothing written yet
             if "PATH_NOT_FOUND" not in str(e):
                 raise
-        rows = empty_as_error(stage.transform(batch), batch)
+        made = stage.transform(batch).persist()  # models run once, not for the rows and again for their sources
+        rows = empty_as_error(made, batch)
         there = set(rows.columns)
         rows = rows.select(*((F.col(f.name) if f.name in there else F.lit(None)).cast(f.dataType).alias(f.name) for f in stage.writes))
         # One folder a batch: a batch that is repeated replaces what it wrote.
         rows.write.mode("overwrite").option("maxRecordsPerFile", 100_000).parquet(f"{out}/epoch={epoch}")
+        made.unpersist()
+        kept.unpersist()
 
     return work
 
 
+def drain_shards(stage: Stage, df: DataFrame, out: str, epoch: int = 0) -> int:
+    """Runs a stage over df shard after shard, each published before the next begins (X6); the number of shards."""
+    work, names = run_batch(stage, out), sorted(r[0] for r in df.select("shard").distinct().collect())
+    for k, name in enumerate(names):
+        work(df.where(F.col("shard") == name), epoch + k)
+    return len(names)
+
+
 def start(spark: SparkSession, stage: Stage, source: str, out: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Runs a stage until its input is drained, or for good every so often (K5, O2, O3)."""
     stream = spark.readStream.schema(stage.reads).option("recursiveFileLookup", "true").parquet(source)
