@@ -20,12 +20,36 @@ def k6_paths(t):
     return t("segments").select("utt_id", p.alias("path"), R.sidecar_path(p).alias("sidecar"))
 
 
-@query()
+_NUMBER = "case when {1} is not null then '\"{0}\":' || {1}::double::varchar end"
+
+
+def _object(*parts: str) -> str:
+    return f"'{{' || concat_ws(',', {', '.join(parts)}) || '}}'"
+
+
+def _number(name: str, value: str) -> str:
+    return _NUMBER.format(name, value)
+
+
+def _text(name: str, value: str) -> str:
+    return f"case when {value} is not null then '\"{name}\":' || to_json({value})::varchar end"
+
+
+_TIMES = _object(_number("duration", "round(seg_duration, 5)"), _number("start", "round(seg_start, 5)"), _number("end", "round(seg_end, 5)"))
+_SCORES = _object(_number("dnsmos", "round(dnsmos, 4)"), _number("c50", "round(c50, 4)"), _number("snr", "round(snr, 4)"))
+_SENTENCE = _object(
+    _text("utt_id", "utt_id"), _text("speaker_id", "speaker_id"), _number("speaker_min_similarity", "round(speaker_min_similarity, 4)"), f"'\"time_range\":' || {_TIMES}", f"'\"audio_quality_info\":' || {_SCORES}"
+)
+_V1_TIMES = "'{' || printf('\"seg_start\":\"%.4f\",\"seg_end\":\"%.4f\",\"seg_duration\":\"%.4f\"', seg_start, seg_end, seg_duration) || '}'"
+_V1 = _object(_text("speaker_id", "speaker_id"), _text("language", "language"), f"'\"time_range\":' || {_V1_TIMES}", f"'\"transcription_info\":{{' || coalesce({_text('transcript', 'text')}, '') || '}}'")
+
+
+@query(f"""select chunk_audio_path, '{{"audio_path":' || to_json(chunk_audio_path)::varchar || ',"duration":' || round(sum(seg_duration), 5)::varchar || ',"sentences":[' || string_agg({_SENTENCE}, ',' order by pos) || ']}}' as json from scored group by 1""")
 def k6_sidecars(t):
     return K.sidecar(t("scored"))
 
 
-@query()
+@query(f"select chunk_audio_path, '[' || string_agg({_V1}, ',' order by pos) || ']' as json from stage2 group by 1")
 def k7_v1_json(t):
     return K.v1_json(t("stage2").select("chunk_audio_path", "pos", "speaker_id", "language", "seg_start", "seg_end", "seg_duration").join(t("segments").select("chunk_audio_path", "pos", "text"), ["chunk_audio_path", "pos"]))
 
@@ -83,7 +107,21 @@ def t30_timeouts(t):
     return t("segments").select("utt_id", T.decode_timeout(F.col("seg_duration") * 200).alias("x"))
 
 
-@query()
+def _unit(salt: str, value: str) -> str:
+    return f"(('0x' || left(sha1('{salt}:' || {value}), 8))::bigint / 4294967295.0::double)"
+
+
+def _stub(name: str, low: int, high: int) -> str:
+    """What the stub scorer of a name says of text."""
+    return f"case when coalesce(text, '') = '' then -1.0::double else {low} + {high - low} * {_unit(name, 'text')} end"
+
+
+@query(
+    f""", a as (select *, case when seg_duration >= 2 then {_stub("stub_alignment", 0, 1)} else -1.0::double end as alignment_score from segments),
+    b as (select *, alignment_score >= 0 and alignment_score < 0.3::double as low_alignment from a),
+    c as (select *, case when seg_duration >= 2 and not low_alignment then {_stub("stub_ppl", 10, 2000)} else -1.0::double end as ppl from b)
+    select utt_id, alignment_score, ppl, low_alignment, ppl > 1000 as high_ppl from c"""
+)
 def m_scored_cascade(t):
     """Scores by stub models, each only of rows that the step before left, then the flags."""
     df = t("segments").withColumn("error", F.lit(None).cast("string"))
@@ -93,13 +131,16 @@ def m_scored_cascade(t):
     return df.select("utt_id", "alignment_score", "ppl", P.outside(F.col("alignment_score"), least=0.3).alias("low_alignment"), P.outside(F.col("ppl"), most=1000).alias("high_ppl"))
 
 
-@query()
+@query(f"select utt_id, {_stub('stub_llm', 0, 1)} as llm_text_score from segments")
 def m8_distinct_texts(t):
     """Each distinct text scored once, joined back to every segment."""
     return J.score_distinct(t("segments").select("utt_id", "text"), "text", lambda d: d.withColumn("llm_text_score", M.score("stub_llm", F.col("text")))).select("utt_id", "llm_text_score")
 
 
-@query()
+@query(
+    f""", x as (select chunk_audio_path, string_agg(text, ' ' order by pos) as text from (select *, row_number() over (partition by chunk_audio_path order by pos) as k from segments) q where k <= 25 group by 1)
+    select chunk_audio_path, case when text = '' then 'news' else ['news', 'talk', 'lecture', 'unknown'][cast(floor({_unit("d", "text")} * 3.999) as bigint) + 1] end as domain from x"""
+)
 def m9_domains(t):
     """A domain for each chunk, from its first texts."""
     said = M.score("stub_domain", F.col("transcript"))

@@ -369,10 +369,22 @@ def w6_speaker_index(t):
     return L.speaker_index(t("segments")).select("utt_id", "index")
 
 
-@query("select * from (values ('a', 3::bigint, 3::bigint), ('b', 10, 8), ('c', 7, 7), ('d', 0, 0)) v(name, available, take)", raw=True)
+@query(
+    """, g as (select row_number() over (order by source) as pos, source as name, count(*) as available from documents group by source),
+    r as (select 0 as round, pos, name, available, 0::bigint as take, (select cast(floor(0.6::double * count(*)) as bigint) from documents) as left_ from g union all
+      select round + 1, pos, name, available, take + give, left_ - sum(give) over () from (
+        select *, greatest(0, least(wish, left_ - coalesce(sum(wish) over (order by pos rows between unbounded preceding and 1 preceding), 0))) as give from (
+          select *, least(available - take, case when take < available then ceil(left_::double / greatest(1, count(*) filter (take < available) over ()))::bigint else 0 end) as wish from r) a) b
+      where left_ > 0 and round < 50)
+    select name, available, max(take) as take from r group by 1, 2"""
+)
 def q9_allocation(t):
-    rows = t("region").limit(1).select(F.explode(F.array(*(F.struct(F.lit(i).alias("pos"), F.lit(n).alias("name"), F.lit(a).cast("long").alias("available")) for i, (n, a) in enumerate((("a", 3), ("b", 10), ("c", 7), ("d", 0)))))).alias("x")).select("x.*")
-    return L.allocated(rows, 18)
+    """Three fifths of all documents, dealt over sources."""
+    from pyspark.sql import Window
+
+    docs = t("documents")
+    groups = docs.groupBy(F.col("source").alias("name")).agg(F.count("*").alias("available")).withColumn("pos", F.row_number().over(Window.orderBy("name")))
+    return L.allocated(groups, int(docs.count() * 0.6))
 
 
 @query(f"{FLAGGED} select utt_id, f_rate as dropped_by_speaking_rate, f_sil as dropped_by_silence, f_align as dropped_by_alignment, f_text as dropped_by_text_quality, kept from flagged")

@@ -62,22 +62,24 @@ def j13_swallowed(t):
 
 
 @query(
-    """, s as (select * from turns where seg_end - seg_start between 1e-9 and 120), f as (select * from turns where pos % 8 = 0),
+    """, s as (select * from turns where seg_end - seg_start between 1e-9 and 120), f as (select chunk_audio_path, seg_start + pos % 4 * 20 as seg_start, seg_end + pos % 4 * 20 as seg_end from turns),
     x as (select s.chunk_audio_path, s.pos, max(least(s.seg_end, f.seg_end) - greatest(s.seg_start, f.seg_start)) as best from s join f on s.chunk_audio_path = f.chunk_audio_path and s.seg_start < f.seg_end and f.seg_start < s.seg_end group by all)
     select s.chunk_audio_path, s.pos, coalesce(best >= 0.5 * (seg_end - seg_start), false) as hit from s left join x using (chunk_audio_path, pos)"""
 )
 def j15_short_turn_recall(t):
-    turns = t("turns")
-    return I.short_turn_recall(turns, turns.where("pos % 8 = 0"), longest=120.0).select("chunk_audio_path", "pos", "hit")
+    """Turns of two minutes at most, looked for among the same turns heard up to a minute late."""
+    turns, late = t("turns"), F.col("pos") % 4 * 20
+    found = turns.withColumns({"seg_start": F.col("seg_start") + late, "seg_end": F.col("seg_end") + late})
+    return I.short_turn_recall(turns, found, longest=120.0).select("chunk_audio_path", "pos", "hit")
 
 
 @query(
-    """, sg as (select * from turns where pos % 8 = 0), x as (select s.chunk_audio_path, s.pos, sum(least(s.seg_end, b.seg_end) - greatest(s.seg_start, b.seg_start)) as f from sg s join turns b
+    """, sg as (select * from turns), x as (select s.chunk_audio_path, s.pos, sum(least(s.seg_end, b.seg_end) - greatest(s.seg_start, b.seg_start)) as f from sg s join turns b
     on s.chunk_audio_path = b.chunk_audio_path and s.seg_start < b.seg_end and b.seg_start < s.seg_end and s.speaker_id is distinct from b.speaker_id group by all)
     select sg.chunk_audio_path, sg.pos, coalesce(f, 0) as foreign from sg left join x using (chunk_audio_path, pos)""".replace("as foreign", 'as "foreign"')
 )
 def j16_foreign_overlap(t):
-    return I.foreign_overlap(t("turns").where("pos % 8 = 0"), t("turns"))
+    return I.foreign_overlap(t("turns"), t("turns"))
 
 
 @query("""select chunk_audio_path, pos from (select *, max(seg_end) over (partition by chunk_audio_path order by seg_start, pos rows between unbounded preceding and 1 preceding) as m from turns) where seg_end > coalesce(m, 0)""")
@@ -158,18 +160,48 @@ def _chunk():
     return Window.partitionBy("chunk_audio_path")
 
 
-@query()
+@query(
+    """, s as (select *, row_number() over (partition by chunk_audio_path order by seg_start, seg_end) - 1 as i from segments),
+    g as (select a.chunk_audio_path, a.i, b.seg_start - a.seg_end as gap from s a join s b on b.chunk_audio_path = a.chunk_audio_path and b.i = a.i + 1),
+    r as (select chunk_audio_path, 0::bigint as a, max(i) as b from s group by 1 union all
+      select chunk_audio_path, h.a, h.b from (select r.chunk_audio_path, unnest([{'a': r.a, 'b': x.m}, {'a': x.m + 1, 'b': r.b}]) as h from r
+        join (select r.chunk_audio_path, r.a, r.b, max(struct_pack(gap := g.gap, i := -g.i)).i * -1 as m from r join g on g.chunk_audio_path = r.chunk_audio_path and g.i >= r.a and g.i < r.b group by all) x
+        on x.chunk_audio_path = r.chunk_audio_path and x.a = r.a and x.b = r.b
+        join s p on p.chunk_audio_path = r.chunk_audio_path and p.i = r.a join s q on q.chunk_audio_path = r.chunk_audio_path and q.i = r.b where q.seg_end - p.seg_start >= 20) y)
+    select r.chunk_audio_path, p.seg_start, q.seg_end from r join s p on p.chunk_audio_path = r.chunk_audio_path and p.i = r.a join s q on q.chunk_audio_path = r.chunk_audio_path and q.i = r.b
+    where r.a = r.b or q.seg_end - p.seg_start < 20"""
+)
 def q6_split_turns(t):
     return folds.split_turns(t("segments").select("chunk_audio_path", "seg_start", "seg_end"))
 
 
-@query()
+@query(
+    """, s as (select chunk_audio_path as source, seg_start, seg_end, row_number() over (partition by chunk_audio_path order by seg_start, seg_end) - 1 as i from turns),
+    r as (select source, 0.0::double as t0, 0::bigint as i, null::double as cs, null::double as ce, 'go' as what from (select distinct source from s) q union all
+      select source, coalesce(ce, t0), coalesce(best + 1, i), cs, ce, what from (
+        select r.source, r.t0, r.i, x.best, case when 90000 - r.t0 <= 7200 or x.best is not null then r.t0 end as cs,
+          case when 90000 - r.t0 <= 7200 then 90000.0::double when x.best is not null then least(coalesce((e.seg_end + n.seg_start) / 2, e.seg_end), r.t0 + 7200) end as ce,
+          case when 90000 - r.t0 <= 7200 then case when 90000 - r.t0 >= 1800 then 'end' else 'short' end when x.best is null then 'fail' else 'go' end as what
+        from r left join (select r.source, r.i, max(struct_pack(d := s.seg_end - s.seg_start, i := -s.i)).i * -1 as best from r join s on s.source = r.source and s.i >= r.i and s.seg_end - r.t0 <= 7200 and s.seg_end - r.t0 >= 1800
+          where 90000 - r.t0 > 7200 group by all) x on x.source = r.source and x.i = r.i
+        left join s e on e.source = r.source and e.i = x.best left join s n on n.source = r.source and n.i = x.best + 1 where r.what = 'go' and r.t0 < 90000) y)
+    select source, cs as chunk_start, ce as chunk_end from r where cs is not null and what <> 'short' and source not in (select source from r where what = 'fail')"""
+)
 def q7_cut_files(t):
     speech = t("turns").select(F.col("chunk_audio_path").alias("source"), "seg_start", "seg_end", F.lit(90000.0).alias("total"))
     return folds.cut_files(speech, 1800.0, 7200.0)
 
 
-@query()
+@query(
+    """, u as (select chunk_audio_path, case when pos % 2 = 0 then 'a' else 'b' end as mode, pos, seg_start, seg_end, speaker_id from segments),
+    m as (select chunk_audio_path, mode, speaker_id as main from (select chunk_audio_path, mode, speaker_id, row_number() over (partition by chunk_audio_path, mode order by sum(seg_end - seg_start) desc, min(pos)) as k from u group by 1, 2, 3) where k = 1),
+    c as (select u.*, row_number() over (partition by chunk_audio_path order by mode, pos) as k from u join m using (chunk_audio_path, mode) where speaker_id <> main and seg_end > seg_start and seg_end - seg_start <= 4),
+    r as (select chunk_audio_path, 1::bigint as k, [struct_pack(m := mode, s := seg_start, e := seg_end, w := speaker_id)] as taken from c where k = 1 union all
+      select c.chunk_audio_path, c.k, case when len(list_filter(r.taken, lambda x: greatest(0, least(c.seg_end, x.e) - greatest(c.seg_start, x.s)) / (c.seg_end - c.seg_start) >= 0.5)) > 0 then r.taken
+        else list_append(r.taken, struct_pack(m := c.mode, s := c.seg_start, e := c.seg_end, w := c.speaker_id)) end from r join c on c.chunk_audio_path = r.chunk_audio_path and c.k = r.k + 1),
+    l as (select chunk_audio_path, unnest(taken) as x from r where (chunk_audio_path, k) in (select chunk_audio_path, max(k) from r group by 1))
+    select chunk_audio_path, x.m as mode, x.s as seg_start, x.e as seg_end, x.w as speaker_id from l"""
+)
 def j14_reference_turns(t):
     turns = t("segments").select("chunk_audio_path", F.when(F.col("pos") % 2 == 0, "a").otherwise("b").alias("mode"), "pos", "seg_start", "seg_end", "speaker_id")
     return folds.reference_turns(turns, longest=4.0)
@@ -381,7 +413,11 @@ def k9_srt_times(t):
     return t("segments").select("utt_id", T.srt_time(F.col("seg_start")).alias("t"))
 
 
-@query()
+@query(
+    r""", w as (select utt_id, unnest(list_transform(regexp_split_to_array(text, '\s+'), lambda x, i: struct_pack(i := i, w := regexp_replace(lower(x), '[^\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}]', '', 'g')))) as x from segments),
+    n as (select utt_id, count(*) filter (x.w <> '') as n, count(*) filter (x.w <> '' and x.i % 5 = 0) as gone from w group by 1), e as (select utt_id, case when n = 0 or n = gone then 1.0::double else gone::double / n end as asr_wer from n)
+    select utt_id, asr_wer, asr_wer > 0.18 as dropped_by_asr_validation from e"""
+)
 def p14_validation(t):
     """Word and character errors of a transcript against itself with every fifth word left out."""
     from loomspark.operators.filters import validate

@@ -39,7 +39,7 @@ DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
         """select concat('d', cast(day(ts) as {S})) as chunk_audio_path, concat('U', cast(user_id % 5 as {S})) as speaker_id,
            cast(hour(ts) * 3600 + minute(ts) * 60 + second(ts) as double) as seg_start,
            cast(hour(ts) * 3600 + minute(ts) * 60 + second(ts) + ((event_id % 40) + 1) * 30 as double) as seg_end, event_id as pos
-           from events where event_id % 4 = 0""",
+           from events""",
     ),
     "scored": (
         ("segments",),
