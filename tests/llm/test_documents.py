@@ -115,6 +115,44 @@ def test_language_accuracy(spark):
     assert len(got) > 20 and all(truth[g["doc_id"]] == g["lang_pred"] for g in got)
 
 
+def test_language_scores_are_the_dense_product():
+    """Sparse scores against a plain loop over n-grams, at full width and with a bit less, short and long texts."""
+    import random
+
+    r = random.Random(4)
+    texts = ["".join(r.choice("abcdeé .,1") for _ in range(n)) for n in (1, 3, 40, 2000, 150_000)] + [None, "", "12 34", "a"]
+    rng = np.random.default_rng(1)
+    for less in (0, 3):
+        logs, prior = rng.normal(-9, 1, (1 << (langid.BITS - less), 3)).astype(np.float32), np.log([0.5, 0.3, 0.2])
+        langs, scores = langid.predict_batch(texts, ["x", "y", "z"], logs, prior, less)
+        for t, lang, score in zip(texts, langs, scores, strict=True):
+            found = [langid.features(piece)[0] for _, piece in langid.blocks([t])]
+            total = sum((logs[f >> np.uint32(less)].sum(axis=0, dtype=np.float64) for f in found), np.zeros(3))
+            n = sum(map(len, found))
+            assert lang == ("xyz"[int((total + prior).argmax())] if n else "und")
+            tempered = total * min(1, langid.TEMPER / max(n, 1)) + prior
+            assert score == pytest.approx(np.exp(tempered[(total + prior).argmax()] - np.logaddexp.reduce(tempered)) if n else 0, rel=1e-4)
+
+
+def test_language_evidence_beats_the_prior():
+    """Long texts go by what they say, however rare their language is."""
+    logs = np.full((1 << langid.BITS, 2), -9, np.float32)
+    logs[:, 1] += 0.02
+    langs, _ = langid.predict_batch(["abc def " * 200], ["common", "rare"], logs, np.log([0.9999, 0.0001]))
+    assert langs == ["rare"]
+
+
+def test_language_many_languages_in_a_small_matrix(spark):
+    """With ten times as many languages as the matrix has room for, hashes lose bits and every language is still told."""
+    alphabet = [chr(0x4E00 + 50 * k + j) for k in range(30) for j in range(50)]
+    rows = [(i, "".join(alphabet[50 * (i % 30) + (7 * i + j * j) % 50] for j in range(40)), f"l{i % 30:02d}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, logs, _, less = langid.train(docs, max_matrix=3 * 4 << langid.BITS)
+    assert len(langs) == 30 and less == 4 and logs.nbytes <= 3 * 4 << langid.BITS
+    got = langid.identify(docs, max_matrix=3 * 4 << langid.BITS).where("held_out").collect()
+    assert sum(g["lang_pred"] == rows[g["doc_id"]][2] for g in got) >= 0.95 * len(got) > 50
+
+
 def test_token_counts(docs, cases, none):
     encode = counts.encoding("byte_bpe_50k.tiktoken").encode_ordinary
     n = [len(encode(c[1] or "")) for c in cases]
