@@ -3,13 +3,18 @@
 Rules decide where one fits: its host or a subdomain of it, and a path that starts with the rule's;
 the longest rule wins. For other urls the host is judged. Hosts of whose pages more are allowed than
 blocked by rules are trusted seeds; hosts with more than half of their pages blocked are blocked
-seeds. So are hosts that are linked to but own no page, if rules decide all their urls alike. Trust is a personalised PageRank from trusted seeds along links between hosts, distrust one
-from blocked seeds against the links (who links to the blocked is distrusted). Ranks are in units of
+seeds. So are hosts that are linked to but own no page, if rules decide all their urls alike. Trust is
+a personalised PageRank from trusted seeds along links between hosts, distrust one from blocked seeds
+against the links (who links to the blocked is distrusted). A host passes its rank on in proportion
+to its number of links; what a host without links holds goes back to the seeds. Ranks are in units of
 one seed. A host is blocked if its distrust is at least MIN_SCORE of a seed, and if its share of all
 distrust is above its share of all trust: neither depends on how many seeds a corpus has. Ranks grow
 from below until all that is still to move, over all hosts, is at most TOLERANCE of a seed.
 
-Only DataFrame functions are used. Links are made distinct by host before they meet any rank, both
+Rank that goes back to the seeds adds to every seed alike, so it makes the same ranks larger by one
+factor: propagation leaves it out, and the ranks of a kind are scaled to as many as it has seeds.
+
+Only DataFrame functions are used. Links are counted by host before they meet any rank, both
 propagations run in one loop, sums are combined on the map side, and joins are ones that adaptive
 execution splits when a host is hot. Blocked hosts are counted; while they are few they go to the
 pages, which then need no shuffle. Lineage is cut every CUT_EVERY rounds. Rules are few and
@@ -33,8 +38,6 @@ from loomspark.llm.common import cut, sent_if_small
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 MAX_RULES = 500
 DAMPING = 0.85
-#: Rounds that the SQL unrolls; the operator goes on until ranks are settled.
-ROUNDS = 8
 CUT_EVERY = 4
 MIN_SCORE = 1e-3
 TOLERANCE = MIN_SCORE / 100
@@ -73,10 +76,10 @@ def rule_of_all(host: Column, rules: Sequence[tuple[str, str]] = RULES) -> Colum
 
 
 def links(pages: DataFrame) -> DataFrame:
-    """Distinct (src, dst) links between different hosts, from pages (host, html)."""
+    """src, dst and n, the number of links between two different hosts, from pages (host, html)."""
     found = pages.where(F.contains("html", F.lit("//"))).select(F.col("host").alias("src"), F.explode(F.regexp_extract_all("html", F.lit(LINK), 1)).alias("dst"))
     found = found.select("src", F.translate("dst", string.ascii_uppercase, string.ascii_lowercase).alias("dst"))
-    return found.where((F.col("src") != F.col("dst")) & (F.col("src") != "")).distinct()
+    return found.where((F.col("src") != F.col("dst")) & (F.col("src") != "")).groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
@@ -113,15 +116,18 @@ def host_scores(pages: DataFrame, tolerance: float = TOLERANCE, rules: Sequence[
     unseen = target.where("kind is not null").distinct().join(counted.select("host"), "host", "left_anti")
     seeds = counted.select(kind.alias("kind"), "host").where("kind is not null").union(unseen.select("kind", "host"))
     seeds = cut(seeds.withColumn("seed", F.lit(1.0)))
-    both = there.select(F.lit("trust").alias("kind"), "src", "dst").union(there.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst")))
+    both = there.select(F.lit("trust").alias("kind"), "src", "dst", "n").union(there.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n"))
     both = cut(both)
-    out = both.groupBy("kind", "src").agg((1.0 / F.count("*")).alias("part"))
-    ranks = propagate(cut(both.join(out, ["kind", "src"])), seeds, tolerance)
-    n = F.broadcast(seeds.groupBy("kind").agg(F.count("*").alias("n")))  # one row for each of the two kinds
+    out = both.groupBy("kind", "src").agg(F.sum("n").alias("of"))
+    edges = cut(both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("n") / F.col("of")).alias("part")))
+    # Scaling makes ranks larger by 1 / (1 - damping) at most, and what is still to move with them.
+    ranks = propagate(edges, seeds, tolerance * (1 - DAMPING))
+    # One row for each of the two kinds.
+    n = F.broadcast(seeds.groupBy("kind").agg(F.count("*").alias("n")).join(ranks.groupBy("kind").agg(F.sum("rank").alias("mass")), "kind"))
     total = lambda k, c: F.coalesce(F.sum(F.when(F.col("kind") == k, c)), F.lit(0.0))
-    share = F.col("rank") / F.col("n")
+    share = F.col("rank") / F.col("mass")
     return ranks.join(n, "kind").groupBy("host").agg(
-        total("distrust", F.col("rank")).alias("distrust"), total("trust", share).alias("trust_share"), total("distrust", share).alias("distrust_share")
+        total("distrust", share * F.col("n")).alias("distrust"), total("trust", share).alias("trust_share"), total("distrust", share).alias("distrust_share")
     )
 
 
