@@ -361,6 +361,36 @@ def test_pii_words_before_earlier_numbers(spark):
     assert got[4] == found(4, "phone", "555-123-4567", "555-987-6543", "555-222-3333")
 
 
+def test_runs_merge():
+    """Runs of any number and length, with keys that end in zero bytes and that repeat, against a dictionary."""
+    import random
+
+    r = random.Random(6)
+    for _ in range(200):
+        keys = [bytes([r.randrange(3)]) + bytes(dedup.KEY - 2) + bytes([r.randrange(3)]) for _ in range(r.randint(1, 60))]
+        ids, known = [r.randrange(9) for _ in keys], [r.random() < 0.7 for _ in keys]
+        ids[0], known[0] = np.iinfo(np.int64).max, True
+        arrays = (np.array(keys, f"S{dedup.KEY}"), np.array(ids), np.array(known), np.ones(len(keys), np.int64))
+        runs = dedup.natural_runs(arrays)
+        assert all((run[0][1:] >= run[0][:-1]).all() for run in runs) and sum(len(run[0]) for run in runs) == len(keys)
+        k, i, there, n = dedup.combined(dedup.merged(runs))
+        by = defaultdict(list)
+        for key, id_, ok in zip(keys, ids, known, strict=True):
+            by[key.rstrip(b"\0")].append(id_ if ok else None)
+        assert k.tolist() == sorted(by)
+        for key, id_, ok, size in zip(k.tolist(), i.tolist(), there.tolist(), n.tolist(), strict=True):
+            real = [x for x in by[key] if x is not None]
+            assert size == len(by[key]) and ok == bool(real) and (not ok or id_ == min(real))
+
+
+def test_every_key_comes_home(spark):
+    """After the last round no key is at two nodes, whatever partitions it began in, and a hot key is one record a run."""
+    rows = spark.range(20000).repartition(9).selectExpr("id as doc_id", "case when id % 3 = 0 then 'hot' else cast(id % 4000 as string) end as text")
+    got = dedup.tree_merge(dedup.digests(rows), 6).collect()
+    assert len(got) == len({bytes(r["key"]) for r in got}) == 1 + sum(any(i % 3 for i in range(k, 20000, 4000)) for k in range(4000))
+    assert max(r["group_size"] for r in got) == 6667 and sum(r["group_size"] for r in got) == 20000
+
+
 def test_dedup(docs, cases, none):
     groups = defaultdict(list)
     for c in cases:
@@ -369,8 +399,8 @@ def test_dedup(docs, cases, none):
     for text, ids in groups.items():
         keep = min((i for i in ids if i is not None), default=None)
         expected += [(i, keep, len(ids), i == keep, hashlib.sha256(text.encode()).hexdigest()) for i in ids]
-    for fan in (2, 8):
-        same(dedup.exact_dedup(docs, fan).collect(), expected)
+    for nodes in (1, 2, 13):
+        same(dedup.exact_dedup(docs.repartition(7), nodes).collect(), expected)
     assert dedup.exact_dedup(none).count() == 0
     left = dedup.drop_copies(docs)
     assert left.columns == docs.columns
