@@ -5,6 +5,7 @@ reaches MIN_SCORE:
   card   13 to 15 digits that pass Luhn:         0.4, and 0.3 if a word for cards is near
   phone  three, three and four digits, no plus:  0.2, and 0.5 if a word for telephones is near
   iban   two letters, two digits, 11 to 30 more: 0.7 if the rest of a division by 97 is 1, and 0.3 for a near word
+  secret 20 or more letters, digits, _ and -, with a letter and a digit: 0.2, and 0.5 if a word for secrets is near
 A word is near if it is in the NEAR characters before the span. Added spans never overlap base ones.
 
 Only DataFrame functions are used, inside each row: there is no shuffle. Splitting by a pattern gives
@@ -37,8 +38,10 @@ IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}+|(?: [A-Z0-9]{4}){2,
 CARD_WORD = r"(?i)\b(card|credit|debit|visa|amex|mastercard|karte|carte|tarjeta)\b"
 PHONE_WORD = r"(?i)\b(phone|tel|telephone|call|mobile|fax|telefon|téléphone|teléfono)\b"
 IBAN_WORD = r"(?i)\b(iban|account|bank|konto|compte|cuenta)\b"
+SECRET = r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+"
+SECRET_WORD = r"(?i)\b(token|secret|api[_-]?key|password|passwd|credentials?|bearer)\b"
 SPAN = "array<struct<s:int,e:int>>"
-KINDS = ("email", "ip", "card", "phone", "iban")
+KINDS = ("email", "ip", "card", "phone", "iban", "secret")
 
 
 def matches(text: Column, pattern: str, accept: Callable[[Column, Column], Column]) -> Column:
@@ -99,6 +102,11 @@ def iban_score(m: Column, before: Column) -> Column:
     return F.when(size.between(15, 34) & (mod97(m) == 1), F.lit(0.7) + F.when(near(before, IBAN_WORD), 0.3).otherwise(0.0)).otherwise(0.0)
 
 
+def secret_score(m: Column, before: Column) -> Column:
+    mixed = m.rlike("[0-9]") & m.rlike("[A-Za-z]")
+    return F.when(mixed, F.lit(0.2) + F.when(near(before, SECRET_WORD), 0.5).otherwise(0.0)).otherwise(0.0)
+
+
 def clear_of(spans: Column, base: Column) -> Column:
     return F.filter(spans, lambda x: ~F.exists(base, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
 
@@ -108,7 +116,7 @@ def listed(kind: str, spans: Column) -> Column:
 
 
 def find(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans and n_iban of each row of docs (doc_id, text)."""
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_iban, n_secret and n_spans of each row of docs (doc_id, text)."""
     text = F.col("text")
     none = F.array().cast(SPAN)
     rows = docs.select("doc_id", F.coalesce(text, F.lit("")).alias("text"))
@@ -125,17 +133,18 @@ def find(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
         when(enough(CARD_WORD), matches(text, CARD, lambda m, before: short_card_score(m, before) >= min_score)).alias("short_card"),
         when(enough(PHONE_WORD), matches(text, BARE_PHONE, lambda m, before: F.lit(0.2) + F.when(near(before, PHONE_WORD), 0.5).otherwise(0.0) >= min_score)).alias("bare_phone"),
         when(enough("[A-Z]{2}[0-9]{2}"), matches(text, IBAN, lambda m, before: iban_score(m, before) >= min_score)).alias("iban"),
+        when(enough(SECRET_WORD), matches(text, SECRET, lambda m, before: secret_score(m, before) >= min_score)).alias("secret"),
     )
     base = F.concat("email", "ip", "card", "phone")
-    rows = rows.select("*", *(clear_of(F.col(c), base).alias(f"more_{c}") for c in ("short_card", "bare_phone", "iban")))
+    rows = rows.select("*", *(clear_of(F.col(c), base).alias(f"more_{c}") for c in ("short_card", "bare_phone", "iban", "secret")))
     base_list = F.concat(*(listed(k, F.col(k)) for k in KINDS[:4]))
     spans = F.concat(
         listed("email", F.col("email")), listed("ip", F.col("ip")),
         listed("card", F.sort_array(F.concat("card", "more_short_card"))), listed("phone", F.sort_array(F.concat("phone", "more_bare_phone"))),
-        listed("iban", F.col("more_iban")),
+        listed("iban", F.col("more_iban")), listed("secret", F.col("more_secret")),
     )
     return rows.select(
         "doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:4]),
         F.sha2(F.array_join(base_list, ",").cast("binary"), 256).alias("base_sha256"), F.array_join(spans, ",").alias("spans"),
-        F.size("more_iban").cast("long").alias("n_iban"),
+        F.size("more_iban").cast("long").alias("n_iban"), F.size("more_secret").cast("long").alias("n_secret"), F.size(spans).cast("long").alias("n_spans"),
     )

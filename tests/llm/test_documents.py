@@ -339,7 +339,8 @@ def test_pii(docs, cases, none):
         expected.append((c[0], n["email"], n["ip"], n["card"], n["phone"], hashlib.sha256(listed.encode()).hexdigest()))
         found[c[0]] = set(listed.split(",")) - {""}
     got = pii.find(docs).cache()
-    same(got.drop("spans", "n_iban").collect(), expected)
+    same(got.drop("spans", "n_iban", "n_secret", "n_spans").collect(), expected)
+    assert all(r["n_spans"] == len([x for x in r["spans"].split(",") if x]) for r in got.collect())
     by_id = {r["doc_id"]: r["spans"] for r in got.collect()}
     assert all(found[i] <= set(s.split(",")) for i, s in by_id.items() if i is not None and i != 3)
     text = {c[0]: c[1] for c in cases}
@@ -361,6 +362,15 @@ def test_pii_words_before_earlier_numbers(spark):
     assert got[4] == found(4, "phone", "555-123-4567", "555-987-6543", "555-222-3333")
 
 
+def test_pii_secrets(spark):
+    """Keys need a word before them, a letter and a digit; words alone, plain words and far-off words give none."""
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    texts = [f'The token = "{key}" here', f"api_key: {key}", key, f"token {'x' * 41} {key}", "password " + "a" * 30, f"secret {key[:19]}", f"Bearer {key}, {key}"]
+    got = {r["doc_id"]: (r["spans"], r["n_secret"]) for r in pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    span = lambda i, at: f"secret:{at}:{at + 40}"
+    assert got == {0: (span(0, 13), 1), 1: (span(1, 9), 1), 2: ("", 0), 3: ("", 0), 4: ("", 0), 5: ("", 0), 6: (span(6, 7), 1)}
+
+
 def test_runs_merge():
     """Runs of any number and length, with keys that end in zero bytes and that repeat, against a dictionary."""
     import random
