@@ -7,7 +7,9 @@ tokens there are in all, and how many are left when longer documents are cut to
 
 Lengths are byte-level BPE tokens of the whole text, special tokens being ordinary text.
 
-Sums go in two levels: within blocks of BLOCK lengths, and over blocks, so no task sees all lengths.
+Sums go in two levels: within blocks of BLOCK lengths, and over blocks, so no task sees all lengths. The
+one task that sums over blocks sees the longest length / BLOCK rows: 80,000 for a document of ten million tokens.
+Any context limit is answered from the table's two rows around it (truncated_total), whether it occurs or not.
 
 Defined cases: null and empty texts have 0 tokens and are counted; rows that repeat are counted as
 often; an empty table gives an empty histogram, and a limit of 0 truncates everything; columns other
@@ -25,7 +27,8 @@ from pyspark.sql import functions as F
 
 from loomspark.llm.common import cut
 
-BLOCK = 1024
+#: Lengths of one window: no task sorts more rows for a block, and there are as many blocks as the longest document has tokens / BLOCK.
+BLOCK = 128
 
 
 @lru_cache(maxsize=4)
