@@ -9,6 +9,8 @@ Sampling: within a source each document expects e = target / source size copies.
 the order of (size, doc_id) and one offset per source it gets floor(r e + offset) - floor((r - 1) e +
 offset) copies: one per integer crossed. As copies keep within one of their expectation at every
 place of an order by size, the words taken differ from the target by less than the largest document.
+Offsets have 48 bits. Targets are found in one task from one row for each source: memory goes with the
+number of sources (some 100 bytes each), not with documents.
 
 Places come from a range partition by (source, size, doc_id), so a source that holds a third of the
 rows lies in as many partitions as its rows need: rows are numbered inside partitions, and one small
@@ -66,7 +68,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed:
     """doc_id, size, source_size, target, taken, copies and source of each row of docs (doc_id, text, source)."""
     sized = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
     goals = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
-    offset = F.conv(F.substring(F.md5(F.coalesce(F.concat(F.lit(f"{seed}:"), F.col("source")), F.lit(seed))), 1, 4), 16, 10).cast("double") / 65536
+    offset = F.conv(F.substring(F.md5(F.coalesce(F.concat(F.lit(f"{seed}:"), F.col("source")), F.lit(seed))), 1, 12), 16, 10).cast("double") / float(1 << 48)
     goals = goals.select("*", F.coalesce(F.try_divide("target", F.col("source_size").cast("double")), F.lit(0.0)).alias("e"), offset.alias("offset"))
     rows = placed(sized).alias("d").join(goals.alias("g"), F.col("d.source").eqNullSafe(F.col("g.source")))
     upto = lambda r: F.floor(r.cast("double") * F.col("e") + F.col("offset"))

@@ -45,7 +45,7 @@ w as (select *, [{", ".join(map(str, mixing.WEIGHTS))}][(row_number() over (orde
 o as (select *, cast((sum(source_size) over ()) - coalesce(sum(cap) over (order by cap / w, source nulls last rows between unbounded preceding and 1 preceding), 0) as double) as room,
       cast(sum(w) over (order by cap / w, source nulls last rows between current row and unbounded following) as double) as rest from w),
 lev as (select arg_min(room / rest, struct_pack(a := cap / w, b := -rest)) filter (cap * rest >= room * w) as level from o),
-g as (select source, source_size, least(cast(cap as double), coalesce(level, 0) * w) as target, cast(('0x' || left(md5(coalesce('{mixing.SEED}:' || source, '{mixing.SEED}')), 4)) as bigint) / 65536.0::double as u from o, lev),
+g as (select source, source_size, least(cast(cap as double), coalesce(level, 0) * w) as target, cast(('0x' || left(md5(coalesce('{mixing.SEED}:' || source, '{mixing.SEED}')), 12)) as bigint) / {float(1 << 48)}::double as u from o, lev),
 r as (select d.*, g.source_size, g.target, u, case when g.source_size = 0 then 0 else g.target / g.source_size end as e, row_number() over (partition by d.source order by size, doc_id nulls last) as k
       from d join g on d.source is not distinct from g.source)
 select doc_id, size, source_size, target, cast(least(floor(k::double * e + u) - floor((k - 1)::double * e + u), {mixing.CAP}) * size as bigint) as taken from r
