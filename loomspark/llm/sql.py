@@ -20,7 +20,7 @@ lw as (select *, translate(lower(line), {_DROPPED}, '') as norm, len(regexp_extr
 dup as (select rid, count(*) - count(distinct line) as n from lw group by rid),
 hosts as (select source, count(distinct text) as docs from lw group by source),
 freq as (select lw.source, norm, count(distinct text) as n, min(doc_id) as first_id from lw group by all),
-over as (select f.source, norm, first_id from freq f join hosts h on f.source is not distinct from h.source where n > {quality.MAX_DOCS} and n > {quality.MAX_DOC_SHARE} * docs),
+over as (select f.source, norm, first_id from freq f join hosts h on f.source is not distinct from h.source where n > {quality.MAX_DOCS} and n > least({quality.MAX_DOC_SHARE} * docs, {quality.ENOUGH_DOCS})),
 gone as (select rid, sum(n) as n from lw join over o on lw.source is not distinct from o.source and lw.norm = o.norm where lw.doc_id is distinct from o.first_id group by rid),
 x as (select d.*, len(ws) as n_words, coalesce(cov.n, 0) as n_repeat_words, coalesce(dup.n, 0) as n_dup_lines, cast(coalesce(gone.n, 0) as bigint) as removed,
       len(ws) < 20 or 100 * coalesce(cov.n, 0) > 30 * len(ws) as base_failed from d left join cov using (rid) left join dup using (rid) left join gone using (rid))

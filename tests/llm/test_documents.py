@@ -415,3 +415,40 @@ def test_dedup(docs, cases, none):
     left = dedup.drop_copies(docs)
     assert left.columns == docs.columns
     same([(r["doc_id"], re.sub(SPACE, " ", r["text"] or "")) for r in left.collect()], {(e[1], t) for t, ids in groups.items() for e in expected if e[4] == hashlib.sha256(t.encode()).hexdigest()})
+
+
+def test_very_long_texts(spark):
+    """Texts of millions of characters: prose, one word again and again, and one word without end; each whole, in every operator."""
+    import random
+
+    r = random.Random(3)
+    some = ["".join(r.choice("abdeinorstué") for _ in range(r.randint(2, 9))) for _ in range(50_000)]
+    prose = " ".join(r.choice(some) for _ in range(1_600_000))
+    assert len(prose.encode()) > 10_000_000
+    texts = [prose, prose.replace(" ", "\n", 7) + " a@b.example.com", "spam " * 200_000, "x" * 1_000_000 + " 4111111111111111", "short text of a few words"]
+    docs = spark.createDataFrame([(i, t, "en" if i % 2 else "fr", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string").repartition(2).cache()
+    by = lambda df: {x["doc_id"]: x for x in df.collect()}
+
+    def repeats(w):
+        seen = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
+        return len({i + k for i in range(len(w) - 7) if seen[tuple(w[i : i + 8])] > 1 for k in range(8)})
+
+    base = by(quality.quality(docs))
+    for i in (0, 2, 3, 4):
+        w = words(texts[i])
+        assert (base[i]["n_words"], base[i]["word_chars"], base[i]["n_repeat_words"]) == (len(w), sum(map(len, w)), repeats(w) if i else 0)
+    assert {i: x["lang_pred"] != "und" for i, x in by(langid.identify(docs)).items()} == dict.fromkeys(range(5), True)
+    n = sorted(x["n_tokens"] for x in counts.lengths(docs).collect())
+    assert n == sorted(len(counts.encoding("byte_bpe_50k.tiktoken").encode_ordinary(t)) for t in texts)
+    assert {i: x["size"] for i, x in by(mixing.mix(docs)).items()} == {i: len(words(t)) for i, t in enumerate(texts)}
+    near = by(simhash.near_dedup(docs))
+    assert near[4]["fingerprint"] == f"{brute_fingerprint(texts[4]):016x}" and near[2]["fingerprint"] == f"{xxhash.xxh64_intdigest(b'spam spam spam', 42):016x}" and near[1]["component_id"] == 0
+    t, made = Tokenizer.from_file(bpe.public_path("word_bpe_49k.json")), by(bpe.encode_texts(docs))
+    for i in (0, 2, 4):
+        ids = t.encode(texts[i], add_special_tokens=False).ids
+        assert made[i]["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+    found = by(pii.find(docs))
+    assert found[1]["spans"] == f"email:{len(texts[1]) - 15}:{len(texts[1])}" and found[3]["n_card"] == 1 and found[0]["n_spans"] == 0
+    copies = by(dedup.exact_dedup(docs))
+    assert all(copies[i]["text_sha256"] == hashlib.sha256(re.sub(SPACE, " ", x).encode()).hexdigest() for i, x in enumerate(texts))
+    docs.unpersist()

@@ -204,6 +204,82 @@ def test_urls_of_blocked_hosts_without_pages(spark):
     assert [r[0] for r in hosts.select(urls.rule_of_all(urls.F.col("host"), rules)).collect()] == [None, "allow", "block", None]
 
 
+def brute_pipeline(rows):
+    """The five stages in plain Python over (doc_id, text, lang, source, n_chars); the rows that run() returns."""
+    import test_documents as brute
+    from tokenizers import Tokenizer
+
+    from loomspark.llm import bpe, mixing, quality
+
+    key = lambda i: (i is None, i or 0)
+    drop = str.maketrans("", "", quality.DROPPED)
+    lines_of = lambda text: [(k, x, x.lower().translate(drop)) for k, x in enumerate(text.split("\n")) if brute.words(x)]
+    texts_of, first, hosts = {}, {}, {}
+    for doc_id, text, _, source, _ in rows:
+        for _, _, line in lines_of(text or ""):
+            at = (source, line)
+            texts_of.setdefault(at, set()).add(text)
+            first[at] = min(first.get(at, key(doc_id)), key(doc_id))
+            hosts.setdefault(source, set()).add(text)
+    frequent = {at for at, t in texts_of.items() if len(t) > quality.MAX_DOCS and len(t) > min(quality.MAX_DOC_SHARE * len(hosts[at[0]]), quality.ENOUGH_DOCS)}
+    clean = []
+    for doc_id, text, lang, source, n_chars in rows:
+        w = brute.words(text)
+        windows = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
+        again = {i + k for i in range(len(w) - 7) if windows[tuple(w[i : i + 8])] > 1 for k in range(8)}
+        gone = [(k, x) for k, x, line in lines_of(text or "") if (source, line) in frequent and first[source, line] != key(doc_id)]
+        n = sum(len(brute.words(x)) for _, x in gone)
+        if len(w) < 20 or 100 * len(again) > 30 * len(w) or (n and (len(w) - n < quality.MIN_WORDS or len(w) - n < quality.MIN_SHARE * len(w))):
+            continue
+        places = {k for k, _ in gone}
+        less = "\n".join(x for k, x in enumerate(text.split("\n")) if k not in places) if gone else text
+        clean.append((doc_id, less, lang, source, n_chars if n_chars is None else n_chars - len(text) + len(less)))
+    groups = {}
+    for row in clean:
+        groups.setdefault(re.sub(brute.SPACE, " ", row[1]), []).append(row)
+    alone = [min(g, key=lambda r: key(r[0])) for g in groups.values()]
+    fps = [brute.brute_fingerprint(r[1]) for r in alone]
+    component = brute.brute_components(fps, [r[0] for r in alone])
+    stays = {r[0] for r, f in zip(alone, fps, strict=True) if r[0] == component[f]}
+    apart = [r for r in alone if r[0] in stays]
+    sizes = Counter()
+    for r in apart:
+        sizes[r[3]] += len(brute.words(r[1]))
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    target = brute.filled(dict(sizes), {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(order)}, mixing.CAP)
+    t, out = Tokenizer.from_file(bpe.public_path("word_bpe_49k.json")), []
+    for s in order:
+        u = int(hashlib.md5((f"{mixing.SEED}:{s}" if s is not None else mixing.SEED).encode()).hexdigest()[:12], 16) / 2**48
+        e = target[s] / sizes[s] if sizes[s] else 0
+        for k, r in enumerate(sorted((r for r in apart if r[3] == s), key=lambda r: (len(brute.words(r[1])), key(r[0]))), 1):
+            ids = t.encode(r[1], add_special_tokens=False).ids
+            raw, back = b"".join(i.to_bytes(4, "little") for i in ids), t.decode(ids, skip_special_tokens=False)
+            copies = int(k * e + u) - int((k - 1) * e + u)
+            out += [(r[0], r[2], r[3], len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256(back.encode()).hexdigest(), raw)] * copies
+    return out
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """Frequent lines, short and repeating texts, exact and near copies, sources of uneven sizes, nulls."""
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abdeinorstué") for _ in range(r.randint(2, 8)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    rows = []
+    for i in range(120):
+        source = ("hot", "hot", "b", "c", None)[i % 5]
+        body = prose(r.randint(15, 120))
+        menu = f"Home | News | About us {'' if i % 2 else ' !'}\n" if source == "hot" else ""
+        rows.append((i, menu + body + ("\nAll rights reserved by the owners of this site" if source == "hot" and i % 3 else ""), ("en", "fr", None)[i % 3], source))
+    rows += [(200 + i, rows[i][1].replace(" ", "  "), "en", rows[i][3]) for i in range(0, 30, 3)]
+    rows += [(300 + i, rows[i][1] + " x", "en", rows[i][3]) for i in range(0, 60, 7)]
+    rows += [(400, "menu\n" + "\n".join(["Home | News | About us"] * 8), "en", "hot"), (401, f"{prose(6)} " * 9, "en", "b"), (402, None, "en", "b"), (None, prose(40), None, None), (403, "Home | News | About us\n" + prose(22), "en", "c")]
+    rows = [(*x, len(x[1] or "")) for x in rows]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    expected = brute_pipeline(rows)
+    got = [(x["doc_id"], x["lang"], x["source"], x["n_tokens"], x["ids_sha256"], x["decoded_sha256"], bytes(x["ids"])) for x in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    assert Counter(got) == Counter(expected) and len(got) > 100
+
+
 def test_pipeline(spark, docs, tmp_path):
     """Every stage against what it must keep, and run() against the stages one by one."""
     import test_documents as brute
