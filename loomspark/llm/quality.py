@@ -39,8 +39,8 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
     """Words that lie in a window found at least twice in the array.
 
     Hashes of windows of 1, 2, 4 ... words come from pairs of those half as long. Most arrays repeat
-    no window, which a hash set of longs tells. In the others the windows are sorted by two hashes,
-    neighbours are verified word by word, and the union of those that repeat is measured in one fold.
+    no window, which a hash set of longs tells. In the others the windows are sorted by hash, neighbours
+    of one hash are verified word by word, and the union of those that repeat is measured in one fold.
     """
     if window & (window - 1):
         raise ValueError("windows are of 1, 2, 4, 8 ... words")
@@ -52,12 +52,17 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
     hashes = F.slice(hashes, 1, F.greatest(F.size(words) - (window - 1), F.lit(0)))
 
     def covered(h: Column) -> Column:
-        ordered = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("x"), F.hash(at(i)).alias("y"), i.alias("i"))))
+        ordered = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
 
         def alike(a: Column, b: Column) -> Column:
-            return F.coalesce((a["x"] == b["x"]) & (a["y"] == b["y"]) & (at(a["i"]) == at(b["i"])), F.lit(False))
+            return F.coalesce((a["x"] == b["x"]) & (at(a["i"]) == at(b["i"])), F.lit(False))
 
-        again = let(ordered, lambda s: F.filter(s, lambda e, k: alike(F.get(s, k + 1), e) | ((k > 0) & alike(F.get(s, F.greatest(k - 1, F.lit(0))), e))))
+        def repeated(s: Column) -> Column:
+            """Which of the sorted windows equal the one before or after; each pair is compared once."""
+            as_next = F.transform(s, lambda e, k: (k + 1 < F.size(s)) & alike(e, F.get(s, k + 1)))
+            return let(as_next, lambda n: F.filter(s, lambda e, k: F.get(n, k) | ((k > 0) & F.get(n, F.greatest(k - 1, F.lit(0))))))
+
+        again = let(ordered, repeated)
         start = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
         return F.aggregate(
             F.sort_array(F.transform(again, lambda e: e["i"])),
