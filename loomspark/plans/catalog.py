@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loomspark.plans import exports, io, qc, relational, rows, speech, streams  # noqa: F401  they register their queries
+from loomspark.plans import exports, io, models, qc, relational, rows, speech, streams  # noqa: F401  they register their queries
 from loomspark.plans.registry import ORACLE, QUERIES
 
 
