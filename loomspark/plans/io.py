@@ -415,7 +415,7 @@ def _source(t, folder):
     f as (select distinct chunk_audio_path as source, shard from segments where shard = 'shard-2')
     select 1 as stage, source, shard, n, seconds, cast(null as varchar) as error from a union all select 1, source, shard, null, null, 'no_segments' from f union all select 2, source, shard, n, seconds / 2, null from a"""
 )
-def o1_o4_two_stages(t):
+def k5_o1_o4_two_stages(t):
     """Two stages as file streams, run to the end, then once more: nothing is done twice, and empty files are recorded as errors."""
     spark, at = _place(t)
     first, second = _stages()

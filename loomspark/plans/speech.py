@@ -154,6 +154,50 @@ def q1_q5_segmenter(t):
     return folds.segment_chunks(segs.select("chunk_audio_path", "pos", "index", "seg_start", "seg_end", "speaker_id", "embedding", "audio"), t("segments"), p)
 
 
+@query(
+    """, s as (select *, row_number() over (partition by chunk_audio_path order by seg_start, seg_end) as i from segments), p as (select chunk_audio_path, min(seg_start) as s, max(seg_end) as e from segments group by 1),
+    g as (select a.chunk_audio_path, a.i, b.seg_start - a.seg_end as size, (a.seg_end + b.seg_start) / 2 as mid from s a join s b on b.chunk_audio_path = a.chunk_audio_path and b.i = a.i + 1 where b.seg_start > a.seg_end),
+    c as (select chunk_audio_path, mid from (select g.*, row_number() over (partition by chunk_audio_path order by size desc, i) as k, greatest(2, ceil((e - s) / 27)) - 1 as n from g join p using (chunk_audio_path) where e - s >= 30) where k <= n),
+    w as (select chunk_audio_path, s as x from p union all select chunk_audio_path, mid from c), q as (select w.chunk_audio_path, x as seg_start, coalesce(lead(x) over (partition by w.chunk_audio_path order by x), e) as seg_end from w join p using (chunk_audio_path))
+    select * from q where chunk_audio_path not in (select chunk_audio_path from q where seg_end - seg_start >= 30)"""
+)
+def q2_cut_long(t):
+    return folds.cut_chunks(t("segments"))
+
+
+#: The other speakers' turns: all segments, heard up to a second and a half before they are.
+HEARD = "h as (select chunk_audio_path, seg_start - 1 - pos % 3 / 4.0::double as s, seg_end - 1 - pos % 2 / 2.0::double as e, speaker_id as who from segments)"
+
+
+def _heard(t):
+    s, pos = t("segments"), F.col("pos")
+    return s.withColumns({"seg_start": F.col("seg_start") - 1 - pos % 3 / 4.0, "seg_end": F.col("seg_end") - 1 - pos % 2 / 2.0})
+
+
+@query(
+    f""", {HEARD}, o as (select utt_id, seg_start, seg_end, s, e, greatest(0, least(seg_end, e) - greatest(seg_start, s)) as hit from segments x left join h on h.chunk_audio_path = x.chunk_audio_path and who is distinct from speaker_id),
+    v as (select utt_id, sum(coalesce(hit, 0)) <= 0.1::double or sum(hit) / (seg_end - seg_start) >= 0.6::double as stays from o group by utt_id, seg_start, seg_end),
+    b as (select o.*, greatest(seg_start, coalesce(max(e) over (partition by utt_id order by s, e rows between unbounded preceding and 1 preceding), seg_start)) as reach from o join v using (utt_id) where not stays and hit > 0.1::double),
+    f as (select utt_id, reach as a, s as z from b union all select utt_id, greatest(seg_start, max(e)), seg_end from b group by utt_id, seg_start, seg_end)
+    select utt_id, a as seg_start, z as seg_end from f where z - a >= 1 union all select utt_id, seg_start, seg_end from segments join v using (utt_id) where stays"""
+)
+def q3_q4_split_around(t):
+    """Segments with other speakers' speech cut out of them, dropped, or kept where almost all of it is foreign."""
+    return folds.guard_chunks(t("segments"), _heard(t), folds.Segmenting(least=1.0, drop_foreign=True, split_foreign=True, relabel_ratio=0.6))
+
+
+@query(
+    f""", {HEARD}, o as (select x.utt_id, s, e, row_number() over (partition by utt_id order by s, e, who) as k from segments x join h on h.chunk_audio_path = x.chunk_audio_path and who is distinct from speaker_id),
+    r as (select utt_id, 0::bigint as k, seg_start as a, seg_end as z from segments union all
+      select r.utt_id, o.k, case when hit and s <= a and a < e and e < z then e else a end, case when hit and a < s and s < z and z <= e then s else z end
+      from r join o on o.utt_id = r.utt_id and o.k = r.k + 1, lateral (select greatest(0, least(z, e) - greatest(a, s)) > 0.1::double as hit) q)
+    select utt_id, arg_max(a, k) as seg_start, arg_max(z, k) as seg_end from r group by utt_id"""
+)
+def q5_trimmed(t):
+    """Segments without the other speakers' speech at their ends, turn by turn."""
+    return folds.guard_chunks(t("segments"), _heard(t), folds.Segmenting(trim_foreign=True))
+
+
 def _chunk():
     from pyspark.sql import Window
 
