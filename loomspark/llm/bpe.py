@@ -141,6 +141,7 @@ class WordBpe:
         self.split = regex.compile(pattern).findall
         self.stable_char = re.compile(f"[{STABLE}]").match
         self.stable_seen = {" "}
+        self.blanks = re.compile(r"[^ \t\n\r]+").findall
         self.path, self.library = path, None
         self.letters = str.maketrans({chr(b): c for b, c in enumerate(byte_alphabet())})
         self.new: dict[str, bytes] = {}
@@ -177,7 +178,9 @@ class WordBpe:
     def word(self, word: str) -> bytes:
         """The ids of one word between white space, kept in the cache."""
         got = self.old.get(word)
-        if got is None:
+        if got is None and self.unstable(word):
+            got = b"".join(self.rare(word))
+        elif got is None:
             # Lower case goes by single characters: no final sigma.
             pieces = self.split(unicodedata.normalize("NFC", word).replace("Σ", "σ").lower())
             got = b"".join([self.symbols(p.encode().decode("latin-1").translate(self.letters)) for p in pieces])
@@ -188,7 +191,7 @@ class WordBpe:
         return got
 
     def rare(self, text: str) -> list[bytes]:
-        """The ids of a text with characters that versions of Unicode class differently: the library splits it."""
+        """The ids of a word with characters that versions of Unicode class differently: the library splits it."""
         if self.library is None:
             from tokenizers import Tokenizer
 
@@ -204,10 +207,9 @@ class WordBpe:
         for k, part in enumerate(self.special.split(text) if self.special else [text]):
             if k % 2:
                 out.append(self.added[part].to_bytes(4, "little"))
-            elif self.unstable(part):
-                out += self.rare(part)
             else:
-                for w in part.split():
+                # No piece crosses white space; where there are odd characters only the plain blanks are sure to be that.
+                for w in self.blanks(part) if self.unstable(part) else part.split():
                     got = self.new.get(w)
                     out.append(self.word(w) if got is None else got)
         return b"".join(out)

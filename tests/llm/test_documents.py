@@ -306,6 +306,16 @@ def test_encoder_against_the_library():
     library = Tokenizer.from_file(bpe.public_path("word_bpe_49k.json"))
     texts = st.one_of(st.text(max_size=60), st.text(alphabet="abcdeinorst '.!<|>éß", max_size=60), st.text(alphabet="ab", max_size=300))
 
+    odd = ["a\u0345b c\u1e9eD", "x \u0301y e\u0301 \u1e00\u0301", "\u2028word\u2029 \x85a\x1cb\xa0c", "ok \U0001f600\u200d\U0001f525 \u0378fine \u10d0\u1c90 end", "\u03a3\u0397\u03a3 \u0130x it'\u017f"]
+
+    def agree(text):
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ours.encode(text), "<u4").tolist() == ids
+
+    for text in odd:
+        agree(text)
+        agree(f"plain words before {text} and after, {text}")
+
     @settings(max_examples=400, deadline=None)
     @given(texts)
     def check(text):
