@@ -52,10 +52,8 @@ def op10_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    import corpus_pipeline
-
     own = (op1_quality, op2_chat, op3_langid, op4_token_counts, op5_mixing, op6_urls, op7_simhash, op8_bpe, op9_pii, op10_dedup)
-    return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
+    return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
