@@ -145,13 +145,35 @@ def q1_merge(t):
     return folds.simple_merge(t("segments"))
 
 
-@query()
+@query(
+    """, x as (select *, row_number() over (partition by chunk_audio_path order by pos) as r, lag(seg_end) over (partition by chunk_audio_path order by pos) as before, max(seg_end) over (partition by chunk_audio_path) as audio from segments where role <> 'system'),
+    gf as (select x.utt_id, coalesce(sum(case when h.seg_end is not null and x.before is not null then greatest(0, least(x.seg_start, h.seg_end) - greatest(x.before, h.seg_start)) end), 0) as f from x left join segments h on h.chunk_audio_path = x.chunk_audio_path and h.speaker_id <> x.speaker_id group by 1),
+    o as (select x.*, f from x join gf using (utt_id)),
+    m as (select chunk_audio_path, r, seg_start as s, seg_end as e, speaker_id as who, seg_duration >= 1 as known, 1 as g, audio from o where r = 1 union all
+      select o.chunk_audio_path, o.r, case when j then m.s else o.seg_start end, o.seg_end, o.speaker_id, case when j then m.known else o.seg_duration >= 1 end, case when j then m.g else m.g + 1 end, m.audio
+      from m join o on o.chunk_audio_path = m.chunk_audio_path and o.r = m.r + 1,
+      lateral (select o.speaker_id = m.who and m.known and o.seg_duration >= 1 and o.seg_start - m.e < 0.8::double and o.seg_end - m.s < 30 and o.f <= 0.1::double as j) q),
+    p as (select chunk_audio_path, g, min(s) as s, max(e) as e, min(who) as who, min(audio) as audio from m group by 1, 2),
+    h as (select p.chunk_audio_path, g, h.seg_start as s, h.seg_end as e, row_number() over (partition by p.chunk_audio_path, g order by h.seg_start, h.seg_end) as k from p join segments h on h.chunk_audio_path = p.chunk_audio_path and h.speaker_id <> who),
+    r as (select chunk_audio_path, g, 0::bigint as k, s as a, e as z from p union all
+      select r.chunk_audio_path, r.g, h.k, case when hit and s <= a and a < e and e < z then e else a end, case when hit and a < s and s < z and z <= e then s else z end
+      from r join h on h.chunk_audio_path = r.chunk_audio_path and h.g = r.g and h.k = r.k + 1, lateral (select greatest(0, least(z, e) - greatest(a, s)) > 0.1::double as hit) q),
+    u as (select chunk_audio_path, g, arg_max(a, k) as a, arg_max(z, k) as z from r group by 1, 2),
+    w as (select u.*, s, e, case when e is not null then greatest(0, least(z, e) - greatest(a, s)) end as hit from u left join h using (chunk_audio_path, g)),
+    v as (select chunk_audio_path, g, sum(coalesce(hit, 0)) <= 0.1::double or sum(hit) / (z - a) >= 0.8::double as stays from w group by chunk_audio_path, g, a, z),
+    b as (select w.*, greatest(a, coalesce(max(e) over (partition by chunk_audio_path, g order by s, e rows between unbounded preceding and 1 preceding), a)) as reach from w join v using (chunk_audio_path, g) where not stays and hit > 0.1::double),
+    f as (select chunk_audio_path, reach as a, s as z from b union all select chunk_audio_path, greatest(a, max(e)), z from b group by chunk_audio_path, g, a, z union all select chunk_audio_path, a, z from u join v using (chunk_audio_path, g) where stays),
+    l as (select f.*, audio, row_number() over (partition by chunk_audio_path order by a, z) as n from f join (select distinct chunk_audio_path, audio from x) q using (chunk_audio_path) where z - a >= 2),
+    y as (select *, least(z + 0.02::double, coalesce(lead(a) over (partition by chunk_audio_path order by n), audio)) as z2 from l),
+    c as (select *, greatest(a - 0.08::double, coalesce(lag(z2) over (partition by chunk_audio_path order by n), 0)) as a2 from y)
+    select chunk_audio_path, (row_number() over (partition by chunk_audio_path order by n) - 1)::varchar as index, a2 as seg_start, z2 as seg_end from c where z2 - a2 >= 2"""
+)
 def q1_q5_segmenter(t):
     """The full segmenter with embeddings and other speakers' turns, over all chunks."""
     segs = t("segments").where("role <> 'system'").withColumn("index", F.col("utt_id")).withColumn("audio", F.max("seg_end").over(_chunk()))
     segs = segs.withColumn("embedding", F.when(F.col("seg_duration") >= 1, F.array(F.lit(1.0), (F.col("pos") % 2).cast("double"))))
     p = folds.Segmenting(intra=0.6, block_merge_across_foreign=True, drop_foreign=True, trim_foreign=True, split_foreign=True, enforce_min=True)
-    return folds.segment_chunks(segs.select("chunk_audio_path", "pos", "index", "seg_start", "seg_end", "speaker_id", "embedding", "audio"), t("segments"), p)
+    return folds.segment_chunks(segs.select("chunk_audio_path", "pos", "index", "seg_start", "seg_end", "speaker_id", "embedding", "audio"), t("segments"), p).drop("speaker_id")
 
 
 @query(
@@ -175,7 +197,7 @@ def _heard(t):
 
 
 @query(
-    f""", {HEARD}, o as (select utt_id, seg_start, seg_end, s, e, greatest(0, least(seg_end, e) - greatest(seg_start, s)) as hit from segments x left join h on h.chunk_audio_path = x.chunk_audio_path and who is distinct from speaker_id),
+    f""", {HEARD}, o as (select utt_id, seg_start, seg_end, s, e, case when e is not null then greatest(0, least(seg_end, e) - greatest(seg_start, s)) end as hit from segments x left join h on h.chunk_audio_path = x.chunk_audio_path and who is distinct from speaker_id),
     v as (select utt_id, sum(coalesce(hit, 0)) <= 0.1::double or sum(hit) / (seg_end - seg_start) >= 0.6::double as stays from o group by utt_id, seg_start, seg_end),
     b as (select o.*, greatest(seg_start, coalesce(max(e) over (partition by utt_id order by s, e rows between unbounded preceding and 1 preceding), seg_start)) as reach from o join v using (utt_id) where not stays and hit > 0.1::double),
     f as (select utt_id, reach as a, s as z from b union all select utt_id, greatest(seg_start, max(e)), seg_end from b group by utt_id, seg_start, seg_end)
