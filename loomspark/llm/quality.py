@@ -35,6 +35,11 @@ MIN_SHARE = 0.3
 DROPPED = SPACES + ".,;:!?'\"()-"
 
 
+def twice_as_long(hashes: Column, half: int) -> Column:
+    """Hashes of windows of 2 * half words from those of half."""
+    return let(hashes, lambda h: F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + half))))
+
+
 def repeated_words(words: Column, window: int = WINDOW) -> Column:
     """Words that lie in a window found at least twice in the array.
 
@@ -47,8 +52,7 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
     at = lambda i: F.slice(words, i + 1, window)
     hashes, half = F.transform(words, lambda w: F.xxhash64(w)), 1
     while half < window:
-        hashes = let(hashes, lambda h, half=half: F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + half))))
-        half *= 2
+        hashes, half = twice_as_long(hashes, half), 2 * half
     hashes = F.slice(hashes, 1, F.greatest(F.size(words) - (window - 1), F.lit(0)))
 
     def covered(h: Column) -> Column:

@@ -36,6 +36,26 @@ def test_quality_base(docs, cases, none):
     assert quality.quality(none).count() == 0
 
 
+def test_quality_repeats_of_many_words(spark):
+    """Texts of few words, whose windows begin and end alike without being equal, against a count of the windows."""
+    import random
+
+    r = random.Random(9)
+    texts = [" ".join(r.choice("abc"[: r.choice([2, 3])]) for _ in range(r.randint(8, 120))) for _ in range(60)]
+    start = "the same eight words begin and end it"
+    texts += [f"{start} " + " ".join(f"{r.choice(['the', 'same'])} x{i}" for i in range(200)) + f" {start}", " ".join(["w"] * 9), " ".join(["w"] * 8)]
+
+    def brute(text):
+        w = words(text)
+        seen = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
+        return len({i + k for i in range(len(w) - 7) if seen[tuple(w[i : i + 8])] > 1 for k in range(8)})
+
+    got = quality.quality(spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")).select("doc_id", "n_repeat_words").collect()
+    assert dict(map(tuple, got)) == {i: brute(t) for i, t in enumerate(texts)}
+    hashes = spark.createDataFrame([(list("abcdabce"),)], "w array<string>").select(quality.F.transform("w", lambda x: quality.F.xxhash64(x)).alias("h")).select(quality.twice_as_long(quality.F.col("h"), 1).alias("h")).first()["h"]
+    assert hashes[0] == hashes[4] and hashes[1] == hashes[5] and len(set(hashes[:7])) == 5
+
+
 @pytest.mark.parametrize("limit", [0, 5])
 def test_quality_lines(docs, cases, limit):
     drop = str.maketrans("", "", quality.DROPPED)
