@@ -195,7 +195,7 @@ def test_audio():
 def test_stage_streams_resume(spark, tmp_path):
     calls = []
     one = pipeline.Stage("one", schemas.MANIFEST, schemas.SEGMENTS, lambda b: b.where("duration > 0").select(F.col("relative_path").alias("source"), "shard", F.col("relative_path").alias("utt_id"), F.col("duration").alias("seg_duration")))
-    reads = one.reads.add("source", "string").add("shard", "string")
+    reads = type(one.reads)(list(one.reads.fields)).add("source", "string").add("shard", "string")  # add() changes what it is called on
     one = pipeline.Stage("one", reads, one.writes, one.transform)
     two = pipeline.Stage("two", schemas.SEGMENTS, schemas.STAGE2, lambda b: (calls.append(1), b.select("source", "shard", "utt_id", F.lit("ok").alias("text")))[1], only_valid=True)
     put = lambda *rows: spark.createDataFrame([(n, d, n, "s") for n, d in rows], "relative_path string, duration double, source string, shard string").write.mode("append").parquet(str(tmp_path / "in"))
