@@ -197,7 +197,7 @@ def k4_by_shard(t):
 def k11_report(t):
     """A report of a small table, its lines in order."""
     spark = t("region").sparkSession
-    text = K.report({"shards": t("segments").groupBy("shard").agg(F.count("*").alias("n")).orderBy("shard")})
+    text = K.report({"shards": t("segments").groupBy("shard").agg(F.count("*").alias("n")).orderBy("shard")}, thousands="")
     return spark.createDataFrame([(i, x) for i, x in enumerate((x for x in text.split("\n") if x), 1)], "at long, line string")
 
 

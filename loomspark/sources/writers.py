@@ -122,8 +122,8 @@ def refuse_secrets(payload: object, at: str = "") -> None:
             refuse_secrets(v, at)
 
 
-def report(sections: dict[str, DataFrame], style: str = "md", rows: int = 200) -> str:
-    """A report of small result tables as txt, md or json (K11); larger ones show their first rows and say so."""
+def report(sections: dict[str, DataFrame], style: str = "md", rows: int = 200, thousands: str = ",") -> str:
+    """A report of small result tables as txt, md or json (K11), whole numbers with a mark between thousands; larger ones show their first rows and say so."""
     import json
 
     tables = {}
@@ -134,7 +134,7 @@ def report(sections: dict[str, DataFrame], style: str = "md", rows: int = 200) -
     if style == "json":
         return json.dumps(tables, ensure_ascii=False, indent=1)
     out = []
-    show = lambda v: "N/A" if v is None else f"{v:,.2f}" if isinstance(v, float) else f"{v:,}" if isinstance(v, int) and not isinstance(v, bool) else str(v)
+    show = lambda v: "N/A" if v is None else f"{v:,.2f}" if isinstance(v, float) else f"{v:,}".replace(",", thousands) if isinstance(v, int) and not isinstance(v, bool) else str(v)
     for name, t in tables.items():
         lines = [list(map(show, r)) for r in t["rows"]]
         if style == "md":

@@ -156,6 +156,17 @@ def test_reports(spark):
     assert K.message("aé" * 2, 2) == "a"
 
 
+def test_reports_of_thousands(spark, tmp_path):
+    """The query's counts are plain, as in its SQL; reports for people have marks."""
+    from loomspark.plans import catalog
+
+    t = {"n": spark.createDataFrame([(1234567, -1234, 999)], "a long, b long, c long")}
+    assert "| 1,234,567 | -1,234 | 999 |" in K.report(t) and "| 1234567 | -1234 | 999 |" in K.report(t, thousands="")
+    spark.createDataFrame([(0, i, "user", "x") for i in range(1200)], "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    spark.createDataFrame([(0,)], "r_regionkey int").write.parquet(str(tmp_path / "region.parquet"))
+    assert [r.line for r in catalog.queries()["k11_report"](spark, str(tmp_path)).orderBy("at").collect()][-1] == "| shard-0 | 1200 |"
+
+
 def test_sharded(spark, tmp_path):
     K.sharded(spark.range(10).selectExpr("id", "id % 2 as shard").coalesce(1), str(tmp_path / "s"), rows=2, by="shard")
     assert len(list((tmp_path / "s").rglob("*.parquet"))) == 6 and spark.read.parquet(str(tmp_path / "s")).count() == 10
