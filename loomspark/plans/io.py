@@ -84,7 +84,7 @@ def s8_s9_parquet_manifest(t):
 @query("select 'm/manifest_part-' || printf('%05d', doc_id) || '.parquet' as relative_path, doc_id as part from documents where doc_id % 3 = 0")
 def s10_shards(t):
     kind = F.when(F.col("doc_id") % 3 == 0, "manifest_part-").when(F.col("doc_id") % 3 == 1, "paths_part-").otherwise("manifest-")
-    return R.shards(t("documents").select(F.concat(F.lit("m/"), kind, F.lpad(F.col("doc_id").cast("string"), 5, "0"), F.lit(".parquet")).alias("relative_path")), "manifest")
+    return R.shards(t("documents").select(F.concat(F.lit("m/"), kind, F.format_string("%05d", F.col("doc_id")), F.lit(".parquet")).alias("relative_path")), "manifest")
 
 
 @query("select format, count(*) as n_rows from manifest group by format")

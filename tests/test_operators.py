@@ -156,6 +156,14 @@ def test_reports(spark):
     assert K.message("aé" * 2, 2) == "a"
 
 
+def test_shards_of_more_than_five_digits(spark, tmp_path):
+    from loomspark.plans import catalog
+
+    spark.createDataFrame([(i,) for i in (3, 99999, 100002, 1234569)], "doc_id long").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {tuple(r) for r in catalog.queries()["s10_shards"](spark, str(tmp_path)).select("relative_path", "part").collect()}
+    assert got == {(f"m/manifest_part-{n}.parquet", int(n)) for n in ("00003", "99999", "100002", "1234569")}
+
+
 def test_reports_of_thousands(spark, tmp_path):
     """The query's counts are plain, as in its SQL; reports for people have marks."""
     from loomspark.plans import catalog
