@@ -14,13 +14,83 @@ from loomspark.functions.text import overlap
 BIN = 300.0
 
 
+def _points(df: DataFrame, width: float, **columns: tuple) -> DataFrame:
+    """Two rows for each interval, its end (kind 0) and its start (kind 1), with u its seconds after the begin of its bin; columns have a value at the end and one at the start."""
+    point = lambda at, kind: F.struct(F.col(at).alias("at"), F.lit(kind).alias("kind"), *(v[kind].alias(c) for c, v in columns.items()))
+    both = df.where("chunk_audio_path is not null and seg_start < seg_end").select("chunk_audio_path", F.col("speaker_id").alias("who"), F.explode(F.array(point("seg_end", 0), point("seg_start", 1))).alias("p"))
+    return both.select("chunk_audio_path", "who", "p.*").withColumn("bin", F.floor(F.col("at") / width)).withColumn("u", F.col("at") - F.col("bin") * width)
+
+
+def _carried(totals: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """For each bin the starts, the ends, and the sums of bins and of seconds in them, starts less ends, of all bins before it, by keys.
+
+    Seconds are summed as whole ones and the rest, so that a busy time leaves no rounding to a quiet one after it.
+    """
+    each = totals.groupBy(*keys, "bin").agg(*(F.sum(c).alias(c) for c in ("starts", "ends", "whole", "rest")))
+    w = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c: F.coalesce(F.sum(c).over(w), F.lit(0))
+    bins = F.col("bin") * (F.col("starts") - F.col("ends"))
+    return each.select(*keys, "bin", F.struct(before("starts").alias("starts"), before("ends").alias("ends"), before(bins).alias("bins"), before("whole").alias("whole"), before("rest").alias("rest")).alias(name))
+
+
+def shared_seconds(a: DataFrame, b: DataFrame, name: str, width: float = BIN) -> DataFrame:
+    """chunk_audio_path and pos of a, and the seconds that b's intervals of other speakers share with it, all added up.
+
+    Up to a time x, intervals have lasted sum(x - start) - sum(x - end) over starts and ends before x. What a turn shares is
+    that at its end less that at its start, for all speakers less its own: two running sums in each bin, and totals of the bins before.
+    """
+    none, zero, one = F.lit(None).cast(a.schema["pos"].dataType), F.lit(0), F.lit(1)
+    asked = _points(a, width, starts=(zero, zero), ends=(zero, zero), sign=(one, -one), pos=(F.col("pos"),) * 2)
+    steps = _points(b, width, starts=(zero, one), ends=(one, zero)).groupBy("chunk_audio_path", "who", "at", "kind", "bin", "u").agg(F.sum("starts").cast("long").alias("starts"), F.sum("ends").cast("long").alias("ends"))
+    points = steps.withColumns({"sign": zero, "pos": none}).unionByName(asked)
+
+    seconds = F.sum((F.col("starts") - F.col("ends")) * F.col("u"))
+    totals = points.groupBy("chunk_audio_path", "who", "bin").agg(F.sum("starts").alias("starts"), F.sum("ends").alias("ends"), seconds.alias("v"))
+    totals = totals.select("chunk_audio_path", "who", "bin", "starts", "ends", F.floor("v").alias("whole"), (F.col("v") - F.floor("v")).alias("rest"))
+    every, own = _carried(totals, ["chunk_audio_path"], "c_all"), _carried(totals, ["chunk_audio_path", "who"], "c_own")
+
+    def running(w, name):
+        w = w.orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return F.struct(F.sum("starts").over(w).alias("starts"), F.sum("ends").over(w).alias("ends"), seconds.over(w).alias("v")).alias(name)
+
+    sums = points.select(
+        "chunk_audio_path", "who", "bin", "u", "sign", "pos",
+        running(Window.partitionBy("chunk_audio_path", "bin"), "r_all"), running(Window.partitionBy("chunk_audio_path", "bin", "who"), "r_own"),
+    ).where("sign <> 0")
+    same = (F.col("chunk_audio_path") == F.col("k_chunk")) & (F.col("bin") == F.col("k_bin"))
+    own = own.withColumnsRenamed({"chunk_audio_path": "k_chunk", "who": "k_who", "bin": "k_bin"})
+    sums = sums.join(every, ["chunk_audio_path", "bin"]).join(own, same & F.col("who").eqNullSafe(F.col("k_who")))
+
+    other = lambda kind, c: F.col(f"{kind}_all.{c}") - F.col(f"{kind}_own.{c}")
+    begun, ended = other("c", "starts") + other("r", "starts"), other("c", "ends") + other("r", "ends")
+    exact = F.col("bin") * (other("c", "starts") - other("c", "ends")) - other("c", "bins")
+    rough = (begun - ended) * F.col("u") - other("r", "v") - other("c", "rest")
+    hits = sums.groupBy("chunk_audio_path", "pos").agg(
+        F.sum(F.when(F.col("sign") > 0, begun).otherwise(-ended)).alias("n"), F.sum(F.col("sign") * exact).alias("bins"),
+        F.sum(F.col("sign") * other("c", "whole")).alias("whole"), F.sum(F.col("sign") * rough).alias("rough"),
+    )
+    # n counts the others that overlap; without any the sum is 0 and not what rounding leaves
+    hit = F.when(F.col("n") > 0, F.greatest(F.lit(0.0), F.col("bins") * width - F.col("whole") + F.col("rough"))).otherwise(0.0)
+    return a.select("chunk_audio_path", "pos").join(hits.select("chunk_audio_path", "pos", hit.alias(name)), ["chunk_audio_path", "pos"], "left").withColumn(name, F.coalesce(name, F.lit(0.0)))
+
+
+def contamination(turns: DataFrame) -> DataFrame:
+    """chunk_audio_path, pos, hit: seconds of each turn that others speak in, all others added up."""
+    return shared_seconds(turns, turns, "hit")
+
+
+def foreign_overlap(segments: DataFrame, turns: DataFrame) -> DataFrame:
+    """chunk_audio_path, pos, foreign: seconds of other speakers' turns in each segment."""
+    return shared_seconds(segments, turns, "foreign")
+
+
 def _binned(df: DataFrame, width: float) -> DataFrame:
     first, last = F.floor(F.col("seg_start") / width), F.floor(F.col("seg_end") / width)
     return df.withColumn("bin", F.explode(F.sequence(first, F.greatest(first, last))))
 
 
 def overlaps(a: DataFrame, b: DataFrame, width: float = BIN) -> DataFrame:
-    """Pairs of an interval of a and one of b, of one chunk and different speakers, that share time (J12, J16); columns a.* and b.* as structs."""
+    """Pairs of an interval of a and one of b, of one chunk and different speakers, that share time; columns a.* and b.* as structs."""
     left = _binned(a.select("chunk_audio_path", "seg_start", "seg_end", F.struct("*").alias("a")), width)
     right = _binned(b.select("chunk_audio_path", F.col("seg_start").alias("b_start"), F.col("seg_end").alias("b_end"), F.struct("*").alias("b"), "seg_start", "seg_end"), width).drop("seg_start", "seg_end")
     near = (F.col("seg_start") < F.col("b_end")) & (F.col("b_start") < F.col("seg_end")) & (F.col("bin") == F.floor(F.greatest("seg_start", "b_start") / width))
@@ -28,12 +98,6 @@ def overlaps(a: DataFrame, b: DataFrame, width: float = BIN) -> DataFrame:
     return joined.select("a", "b", overlap(F.col("seg_start"), F.col("seg_end"), F.col("b_start"), F.col("b_end")).alias("shared"))
 
 
-def contamination(turns: DataFrame) -> DataFrame:
-    """chunk_audio_path, pos, hit: seconds of each turn that others speak in, all others added up."""
-    hits = overlaps(turns, turns).groupBy(F.col("a.chunk_audio_path").alias("chunk_audio_path"), F.col("a.pos").alias("pos")).agg(F.sum("shared").alias("hit"))
-    return turns.select("chunk_audio_path", "pos").join(hits, ["chunk_audio_path", "pos"], "left").withColumn("hit", F.coalesce("hit", F.lit(0.0)))
-
-
 def swallowed(reference: DataFrame, segments: DataFrame, part: float = 0.9) -> DataFrame:
     """Reference turns of which at least a part lies in one segment of another speaker, each once."""
     length = F.col("a.seg_end") - F.col("a.seg_start")
@@ -48,12 +112,6 @@ def short_turn_recall(reference: DataFrame, found: DataFrame, longest: float = 1
     return short.join(best, ["chunk_audio_path", "pos"], "left").withColumn("hit", F.coalesce(F.col("best") >= part * (F.col("seg_end") - F.col("seg_start")), F.lit(False)))
 
 
-def foreign_overlap(segments: DataFrame, turns: DataFrame) -> DataFrame:
-    """chunk_audio_path, pos, foreign: seconds of other speakers' turns in each segment."""
-    hits = overlaps(segments, turns).groupBy(F.col("a.chunk_audio_path").alias("chunk_audio_path"), F.col("a.pos").alias("pos")).agg(F.sum("shared").alias("foreign"))
-    return segments.select("chunk_audio_path", "pos").join(hits, ["chunk_audio_path", "pos"], "left").withColumn("foreign", F.coalesce("foreign", F.lit(0.0)))
-
-
 def _chunk(*order: str):
     return Window.partitionBy("chunk_audio_path").orderBy(*order)
 
