@@ -1,15 +1,17 @@
 """Intervals of a chunk [seg_start, seg_end): overlaps between speakers, and windows over neighbours.
 
-Range joins meet on the chunk and on a bin of time, so that a chunk with very many intervals is
-spread over tasks and compared only near by; a pair is counted in the bin where its overlap starts.
+Nothing lists the pairs that overlap, which grow as the square of how densely a chunk is filled. Shared seconds
+are differences of running sums over sorted starts and ends; the longest overlap is looked up among intervals that
+no other one holds. Both go by chunk and bin of time, so that a chunk with very many intervals is spread over tasks.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from loomspark.functions.text import overlap
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 BIN = 300.0
 
@@ -84,31 +86,91 @@ def foreign_overlap(segments: DataFrame, turns: DataFrame) -> DataFrame:
     return shared_seconds(segments, turns, "foreign")
 
 
+def _outermost(gs, ge):
+    """Starts and ends, both rising, of the intervals that no other one holds."""
+    order = np.lexsort((-ge, gs))
+    gs, ge = gs[order], ge[order]
+    keep = np.ones(len(gs), bool)
+    keep[1:] = ge[1:] > np.maximum.accumulate(ge)[:-1]
+    return gs[keep], ge[keep]
+
+
+def _longest(s, e, gs, ge):
+    """The most that one interval [gs, ge) shares with each [s, e), nan if none meets it."""
+    gs, ge = _outermost(gs, ge)
+    n, best = len(gs), np.full(len(s), np.nan)
+    i, j = np.searchsorted(gs, s, "right"), np.searchsorted(ge, e, "left")  # before i: begun by s; from j: open at e
+    end, start = ge[np.maximum(i - 1, 0)], gs[np.minimum(j, n - 1)]
+    best = np.fmax(best, np.where((i > 0) & (end > s), np.minimum(e, end) - s, np.nan))
+    best = np.fmax(best, np.where((j < n) & (start < e), e - np.maximum(s, start), np.nan))
+    inside = np.flatnonzero(i < j)  # those from i to j lie inside: the longest of a range, by ranges of powers of two
+    if len(inside):
+        a, b = i[inside], j[inside]
+        level, found, most = np.frexp(b - a)[1] - 1, np.empty(len(inside)), ge - gs
+        for k in range(level.max() + 1):
+            at = level == k
+            found[at] = np.maximum(most[a[at]], most[b[at] - (1 << k)])
+            most = np.maximum(most[: -(1 << k)], most[1 << k :]) if len(most) > 1 << k else most
+        best[inside] = np.fmax(best[inside], found)
+    return best
+
+
+def longest_shared(s, e, who, gs, ge, g_who):
+    """_longest() among intervals of other speakers, speakers being numbers from 0.
+
+    Different numbers differ in a bit, so intervals with a bit set are looked up by those without it and the other way round: as many
+    lookups as bits, however many speakers there are.
+    """
+    best = np.full(len(s), np.nan)
+    for bit in range(int(max(who.max(), g_who.max())).bit_length()):
+        mine, theirs = who >> bit & 1, g_who >> bit & 1
+        for v in (0, 1):
+            ours, those = mine != v, theirs == v
+            if ours.any() and those.any():
+                best[ours] = np.fmax(best[ours], _longest(s[ours], e[ours], gs[those], ge[those]))
+    return best
+
+
 def _binned(df: DataFrame, width: float) -> DataFrame:
     first, last = F.floor(F.col("seg_start") / width), F.floor(F.col("seg_end") / width)
-    return df.withColumn("bin", F.explode(F.sequence(first, F.greatest(first, last))))
+    return df.withColumn("_bin", F.explode(F.sequence(first, F.greatest(first, last))))
+
+
+def _with_longest(a: DataFrame, b: DataFrame, width: float) -> DataFrame:
+    """a, in bins, with _best: the most seconds that one of b's intervals of another speaker in the bin shares with it, null if none does."""
+    cols = ["seg_start", "seg_end", "speaker_id"]
+    b = b.where("seg_start <= seg_end").select("chunk_audio_path", *cols)
+    before = Window.partitionBy("chunk_audio_path", "speaker_id", F.floor(F.col("seg_start") / width)).orderBy("seg_start", F.desc("seg_end")).rowsBetween(Window.unboundedPreceding, -1)
+    b = b.withColumn("_last", F.max("seg_end").over(before)).where("_last is null or seg_end > _last").drop("_last")  # those inside one of the same speaker never share more
 
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        best = np.full(len(left), np.nan)
+        if len(left) and len(right):
+            names = pa.chunked_array(left["speaker_id"].chunks + right["b_speaker_id"].chunks, left.schema.field("speaker_id").type).combine_chunks().dictionary_encode("encode").indices.to_numpy()
+            times = [t[c].to_numpy() for t, c in ((left, "seg_start"), (left, "seg_end"), (right, "b_seg_start"), (right, "b_seg_end"))]
+            best = longest_shared(*times[:2], names[: len(left)], *times[2:], names[len(left) :])
+        return left.append_column("_best", pa.array(best, from_pandas=True))
 
-def overlaps(a: DataFrame, b: DataFrame, width: float = BIN) -> DataFrame:
-    """Pairs of an interval of a and one of b, of one chunk and different speakers, that share time; columns a.* and b.* as structs."""
-    left = _binned(a.select("chunk_audio_path", "seg_start", "seg_end", F.struct("*").alias("a")), width)
-    right = _binned(b.select("chunk_audio_path", F.col("seg_start").alias("b_start"), F.col("seg_end").alias("b_end"), F.struct("*").alias("b"), "seg_start", "seg_end"), width).drop("seg_start", "seg_end")
-    near = (F.col("seg_start") < F.col("b_end")) & (F.col("b_start") < F.col("seg_end")) & (F.col("bin") == F.floor(F.greatest("seg_start", "b_start") / width))
-    joined = left.join(right, ["chunk_audio_path", "bin"]).where(near & ~F.col("a.speaker_id").eqNullSafe(F.col("b.speaker_id")))
-    return joined.select("a", "b", overlap(F.col("seg_start"), F.col("seg_end"), F.col("b_start"), F.col("b_end")).alias("shared"))
+    schema = StructType([StructField(f.name, f.dataType) for f in a.schema] + [StructField("_best", DoubleType())])
+    b = _binned(b, width).select(F.col("chunk_audio_path").alias("b_chunk"), F.col("_bin").alias("b_bin"), *(F.col(c).alias(f"b_{c}") for c in cols))  # own columns, a and b may be one frame
+    return a.groupBy("chunk_audio_path", "_bin").cogroup(b.groupBy("b_chunk", "b_bin")).applyInArrow(run, schema)
 
 
-def swallowed(reference: DataFrame, segments: DataFrame, part: float = 0.9) -> DataFrame:
+def swallowed(reference: DataFrame, segments: DataFrame, part: float = 0.9, width: float = BIN) -> DataFrame:
     """Reference turns of which at least a part lies in one segment of another speaker, each once."""
-    length = F.col("a.seg_end") - F.col("a.seg_start")
-    return overlaps(reference, segments).where((length > 0) & (F.col("shared") >= part * length)).select("a").distinct().select("a.*")
+    turns = reference.where("chunk_audio_path is not null and seg_end > seg_start")
+    length = F.col("seg_end") - F.col("seg_start")
+    # a segment over well more than half of a turn is in the bin of the turn's middle
+    turns = turns.withColumn("_bin", F.floor((F.col("seg_start") + length / 2) / width)) if part > 0.6 else _binned(turns, width)
+    return _with_longest(turns, segments, width).where(F.col("_best") >= part * length).select(*reference.columns).distinct()
 
 
-def short_turn_recall(reference: DataFrame, found: DataFrame, longest: float = 1.5, part: float = 0.5) -> DataFrame:
+def short_turn_recall(reference: DataFrame, found: DataFrame, longest: float = 1.5, part: float = 0.5, width: float = BIN) -> DataFrame:
     """Short reference turns with hit: whether some found segment covers at least a part of it."""
     short = reference.where((F.col("seg_end") - F.col("seg_start")).between(1e-9, longest))
-    anyone = found.withColumn("speaker_id", F.lit(" "))  # of whichever speaker
-    best = overlaps(short, anyone).groupBy("a.chunk_audio_path", "a.pos").agg(F.max("shared").alias("best"))
+    asked = short.where("chunk_audio_path is not null").select("chunk_audio_path", "pos", "seg_start", "seg_end", F.lit("a").alias("speaker_id"))
+    anyone = found.withColumn("speaker_id", F.lit("b"))  # of whichever speaker
+    best = _with_longest(_binned(asked, width), anyone, width).groupBy("chunk_audio_path", "pos").agg(F.max("_best").alias("best"))
     return short.join(best, ["chunk_audio_path", "pos"], "left").withColumn("hit", F.coalesce(F.col("best") >= part * (F.col("seg_end") - F.col("seg_start")), F.lit(False)))
 
 
