@@ -15,8 +15,11 @@ from dataclasses import dataclass
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 Batch = Callable[[list], list]
 
@@ -63,16 +66,28 @@ def guarded(batch: Batch, items: list, failure: Any) -> list:
     return out
 
 
+#: Rows that a scorer gets at once: inputs may be large files, and are made Python objects for so many rows only.
+SLICE = 256
+
+
 def score(name: str, *inputs: Column) -> Column:
-    """The scorer's output for each row; several inputs come as tuples."""
-    scorer = _REGISTRY[name]
-
-    @F.pandas_udf(scorer.returns)
-    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        model = scorer.make()
-        for columns in batches:
-            items = list(columns) if isinstance(columns, pd.Series) else list(zip(*columns, strict=True))
-            yield pd.Series(guarded(model, items, scorer.failure), dtype=object if scorer.returns.startswith(("array", "string", "struct")) else None)
+    """The scorer's output for each row; several inputs come as tuples.
+
+    No iterator UDF, so that Spark computes several scores of a row in one worker and not in a chain of them.
+    """
+    scorer, made = _REGISTRY[name], []
+    kind = to_arrow_type(DataType.fromDDL(scorer.returns))
+
+    @F.arrow_udf(scorer.returns)
+    def run(*columns: pa.Array) -> pa.Array:
+        if not made:
+            made.append(scorer.make())
+        out = []
+        for at in range(0, len(columns[0]), SLICE):
+            parts = [c.slice(at, SLICE).to_pylist() for c in columns]
+            items = parts[0] if len(parts) == 1 else list(zip(*parts, strict=True))
+            out.append(pa.array(guarded(made[0], items, scorer.failure), kind, from_pandas=True))
+        return pa.concat_arrays(out) if out else pa.array([], kind)
 
     return run(*inputs)
 

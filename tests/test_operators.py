@@ -196,6 +196,23 @@ def test_scorers_never_drop(spark):
     assert got["2"] == -1.0 and got["1"] > 0
 
 
+def test_scorers_get_slices_in_one_worker(spark):
+    """Several scores of a row are one Python step, and no scorer gets a whole Arrow batch of inputs."""
+
+    @M.register("no_more_than", "struct<n:long,x:string>", None)
+    def no_more_than():
+        return lambda items: [None if x == "7" else {"n": len(items), "x": x} for x in items]
+
+    try:
+        df = spark.range(2000).coalesce(1).select(F.col("id").cast("string").alias("x")).select("x", *(M.score("no_more_than", F.concat("x", F.lit(k))).alias(f"v{k}") for k in ("", "a", "b")))
+        got = df.collect()
+    finally:
+        del M._REGISTRY["no_more_than"]
+    assert max(r.v.n for r in got if r.v) <= M.SLICE and [r.x for r in got if r.v is None] == ["7"]
+    assert all(r.v is None or r.v.x == r.x for r in got) and all(r.va.x == r.x + "a" and r.vb.x == r.x + "b" for r in got)
+    assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_audio():
     import io
     import wave
